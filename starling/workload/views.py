@@ -51,12 +51,14 @@ def no_urls(x: str) -> str:
 
 def censored(x: str, mask_last: bool = False) -> str:
     runs = f"regexp_extract_all({x}, '[\\p{{L}}\\p{{Nd}}]+|[^\\p{{L}}\\p{{Nd}}]+')"
-    last = "false" if mask_last else f"i = len({runs})"
     mask = (
-        f"CASE WHEN {last} OR length(r) < 3 OR NOT list_contains({BANNED}, lower(r)) THEN r "
+        f"CASE WHEN length(r) < 3 OR NOT list_contains({BANNED}, lower(r)) THEN r "
         "ELSE concat(r[1], repeat('*', length(r) - 2), r[-1]) END"
     )
-    return f"array_to_string(list_transform({runs}, lambda r, i: {mask}), '')"
+    if mask_last:
+        return f"array_to_string(list_transform({runs}, lambda r: {mask}), '')"
+    body = f"array_to_string(list_transform(({runs})[1:-2], lambda r: {mask}), '')"
+    return f"concat({body}, ({runs})[-1])"
 
 
 def matches(x: str, p: str) -> str:
