@@ -68,12 +68,12 @@ def _signed(sig: pd.Series, send: pd.Series, tx_hash_text: pd.Series, modulus: p
     def one(s, e, h, n):
         try:
             return pow(int(s), int(e), int(n)) == int(h, 16)
-        except ValueError:
+        except (TypeError, ValueError):
             return False
 
     return pd.Series([one(*row) for row in zip(sig, send, tx_hash_text, modulus, strict=True)])
 
 
 def signature_holds(sig: Column, send: Column, tx_hash_text: Column, modulus: int = SIGNATURE_MODULUS) -> Column:
-    """Whether sig to the power of send, modulo the modulus, is the hash read as a hexadecimal number."""
+    """Whether sig to the power of send, modulo the modulus, is the hash as a hexadecimal number; no for no sender."""
     return _signed(sig, send, tx_hash_text, F.lit(modulus))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -47,16 +47,37 @@ def explode_ledger(decoded: DataFrame, blocks_per_part: int = 0) -> tuple[DataFr
     return blocks, txs
 
 
+def _id_broken() -> Column:
+    return F.col("id").isNull() | (F.col("id") != F.col("pos"))
+
+
+def _amount_broken() -> Column:
+    amount, fee = fn.whole_number(F.col("amt")), fn.whole_number(F.col("fee"))
+    return amount.isNull() | (amount < 0) | (F.col("fee").isNotNull() & (fee.isNull() | (fee < 0)))
+
+
+def _tx_hash_broken() -> Column:
+    due = fn.tx_hash(*(F.col(c) for c in ("time", "send", "recv", "amt", "fee")))
+    return F.coalesce("hash", F.lit("")) != due
+
+
+def _block_hash_broken() -> Column:
+    due = fn.block_hash(F.col("id"), F.col("prev_hash"), F.col("tx_hashes"), F.col("pow"))
+    return due.isNull() | (F.coalesce("hash", F.lit("")) != due)
+
+
+def _target_broken() -> Column:
+    return F.col("target").isNull() | (F.coalesce("hash", F.lit("")) > F.col("target"))
+
+
 def bad_ids(blocks: DataFrame) -> DataFrame:
     """The id of a block is its position."""
-    return blocks.where(F.col("id").isNull() | (F.col("id") != F.col("pos"))).select("chain_id", "pos", "id")
+    return blocks.where(_id_broken()).select("chain_id", "pos", "id")
 
 
 def bad_amounts(txs: DataFrame) -> DataFrame:
     """The amount is a number and not negative, nor is the fee where there is one. Fractions are cut off."""
-    amount, fee = fn.whole_number(F.col("amt")), fn.whole_number(F.col("fee"))
-    negative = amount.isNull() | (amount < 0) | (F.col("fee").isNotNull() & (fee.isNull() | (fee < 0)))
-    return txs.where(negative).select("chain_id", "pos", "idx", "amt", "fee")
+    return txs.where(_amount_broken()).select("chain_id", "pos", "idx", "amt", "fee")
 
 
 def _before(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
@@ -126,8 +147,8 @@ def bad_rewards(blocks: DataFrame, txs: DataFrame) -> DataFrame:
 
 
 def bad_tx_hashes(txs: DataFrame) -> DataFrame:
-    due = fn.tx_hash(*(F.col(c) for c in ("time", "send", "recv", "amt", "fee")))
-    return txs.where(F.coalesce("hash", F.lit("")) != due).select("chain_id", "pos", "idx", "hash")
+    """The hash is the one of the fields."""
+    return txs.where(_tx_hash_broken()).select("chain_id", "pos", "idx", "hash")
 
 
 def with_previous_hash(blocks: DataFrame) -> DataFrame:
@@ -139,46 +160,37 @@ def with_previous_hash(blocks: DataFrame) -> DataFrame:
 
 
 def bad_block_hashes(blocks: DataFrame) -> DataFrame:
-    due = fn.block_hash(F.col("id"), F.col("prev_hash"), F.col("tx_hashes"), F.col("pow"))
-    stated = F.coalesce("hash", F.lit(""))
-    return with_previous_hash(blocks).where(due.isNull() | (stated != due)).select("chain_id", "pos", "hash")
+    """The hash is the one of the id, the previous hash, the transaction hashes and the proof of work."""
+    return with_previous_hash(blocks).where(_block_hash_broken()).select("chain_id", "pos", "hash")
 
 
 def bad_targets(blocks: DataFrame) -> DataFrame:
     """The hash is not above the target in text order; equality passes."""
-    above = F.col("target").isNull() | (F.coalesce("hash", F.lit("")) > F.col("target"))
-    return blocks.where(above).select("chain_id", "pos", "hash", "target")
+    return blocks.where(_target_broken()).select("chain_id", "pos", "hash", "target")
 
 
 def bad_signatures(txs: DataFrame, modulus: int = fn.SIGNATURE_MODULUS) -> DataFrame:
     """Signed transactions whose signature does not give their hash."""
     signed = txs.where("sig IS NOT NULL AND hash IS NOT NULL AND hash <> ''")
-    unknown = signed.where("send IS NULL")
-    wrong = signed.where("send IS NOT NULL").where(
-        ~fn.signature_holds(F.col("sig"), F.col("send"), F.col("hash"), modulus)
-    )
-    return unknown.unionByName(wrong).select("chain_id", "pos", "idx", "hash", "sig")
-
-
-def audits(blocks: DataFrame, txs: DataFrame, modulus: int = fn.SIGNATURE_MODULUS) -> dict[str, DataFrame]:
-    """All audits by name."""
-    return {
-        "block_ids": bad_ids(blocks),
-        "amounts": bad_amounts(txs),
-        "time_order": bad_times(txs),
-        "balance": bad_balances(txs),
-        "rewards": bad_rewards(blocks, txs),
-        "tx_hash": bad_tx_hashes(txs),
-        "block_hash": bad_block_hashes(blocks),
-        "target": bad_targets(blocks),
-        "signature": bad_signatures(txs, modulus),
-    }
+    holds = fn.signature_holds(F.col("sig"), F.col("send"), F.col("hash"), modulus)
+    return signed.where(~holds).select("chain_id", "pos", "idx", "hash", "sig")
 
 
 def invalid_chains(blocks: DataFrame, txs: DataFrame, modulus: int = fn.SIGNATURE_MODULUS) -> DataFrame:
-    """Chains with a violation. They combine to one row per chain and task before the shuffle."""
-    found = [bad.select("chain_id") for bad in audits(blocks, txs, modulus).values()]
-    return reduce(DataFrame.unionByName, found).distinct()
+    """Chains with a violation.
+
+    The rules that look at single rows share a scan each of blocks and transactions; the others have their own.
+    Violations combine to one row per chain and task before the shuffle.
+    """
+    found = [
+        with_previous_hash(blocks).where(_id_broken() | _target_broken() | _block_hash_broken()),
+        txs.where(_amount_broken() | _tx_hash_broken()),
+        bad_signatures(txs, modulus),
+        bad_times(txs),
+        bad_balances(txs),
+        bad_rewards(blocks, txs),
+    ]
+    return reduce(DataFrame.unionByName, [bad.select("chain_id") for bad in found]).distinct()
 
 
 def verdicts(chains: DataFrame, invalid: DataFrame) -> DataFrame:
@@ -186,9 +198,3 @@ def verdicts(chains: DataFrame, invalid: DataFrame) -> DataFrame:
     marked = invalid.distinct().withColumn("_bad", F.lit(True))
     joined = chains.select("chain_id").distinct().join(marked, "chain_id", "left")
     return joined.select("chain_id", F.col("_bad").isNull().alias("valid"))
-
-
-def violation_counts(blocks: DataFrame, txs: DataFrame) -> DataFrame:
-    """Violations per audit."""
-    named = [bad.select(F.lit(name).alias("audit")) for name, bad in audits(blocks, txs).items()]
-    return reduce(DataFrame.unionByName, named).groupBy("audit").agg(F.count("*").alias("violations"))

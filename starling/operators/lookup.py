@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starling.functions.keys import split_pair
 from starling.operators.graph import REPLY, RETWEET
+from starling.session import small_table
 
 # Type words of a request. Any other word means both types.
 TYPE_WORDS = {"reply": REPLY, "retweet": RETWEET}
@@ -24,9 +26,8 @@ def lookup_contacts_by_type(combined: DataFrame, uid: int, word: str) -> DataFra
 
 
 def lookup_pairs(df: DataFrame, pairs: Sequence[str]) -> DataFrame:
-    """Rows of the listed pair keys. Each key becomes two numbers, so the filter reaches the scan."""
-    spark = df.sparkSession
-    listed = spark.createDataFrame([(p,) for p in pairs], "pair string")
+    """Rows of the listed pair keys. Each key becomes two numbers and the rows are joined to the list."""
+    listed = small_table(df.sparkSession, [(p,) for p in pairs], pair=pa.string())
     low, high = split_pair(F.col("pair"))
     return df.join(listed.select(low.alias("lo"), high.alias("hi")).distinct(), ["lo", "hi"], "left_semi")
 

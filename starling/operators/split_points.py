@@ -7,10 +7,13 @@ totals give each bucket its first rank, and only ranks within a bucket are windo
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from starling.session import small_table
+
 # Keys drawn to choose the cuts.
 SAMPLE_KEYS = 20_000
 
@@ -43,6 +46,6 @@ def split_points(df: DataFrame, key: str, parts: int, buckets: int = 64) -> Data
 
     ordered = Window.partitionBy("bucket").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
     ranked = placed.withColumn("last", F.sum("n").over(ordered)).withColumn("first", F.col("last") - F.col("n") + 1)
-    asked = df.sparkSession.createDataFrame(targets, "bucket int, rank bigint, local bigint")
+    asked = small_table(df.sparkSession, targets, bucket=pa.int32(), rank=pa.int64(), local=pa.int64())
     hit = ranked.join(F.broadcast(asked), "bucket").where(F.col("local").between(F.col("first"), F.col("last")))
     return hit.select("rank", F.col("key").alias("split_key"))

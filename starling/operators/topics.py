@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starling.functions import scores
-from starling.functions.text import effective_words, strip_urls, tokens, words
+from starling.functions.text import strip_urls, tokens, words
 
 # Scores that differ by less than this many digits rank as equal: sums of doubles depend on their order.
 RANK_DIGITS = 9
@@ -19,16 +19,19 @@ def post_words(text: Column) -> Column:
     return words(strip_urls(text))
 
 
+def with_words(posts: DataFrame) -> DataFrame:
+    """Add `words`. As the output of a generator they are taken once per row, however often they are used."""
+    return posts.select("*", F.explode(F.array(post_words(F.col("content")))).alias("words"))
+
+
 def term_counts(posts: DataFrame) -> DataFrame:
     """Occurrences per post and word, and the number of words of the post.
 
     The length is taken in the row; only the count needs the shuffle.
     """
-    listed = posts.withColumn("_words", post_words(F.col("content")))
-    exploded = listed.select("tid", F.size("_words").alias("doc_len"), F.explode("_words").alias("word"))
-    return exploded.groupBy("tid", "doc_len", "word").agg(F.count("*").alias("cnt")).select(
-        "tid", "word", "cnt", F.col("doc_len").cast("bigint").alias("doc_len")
-    )
+    exploded = with_words(posts).select("tid", F.size("words").cast("bigint").alias("doc_len"), F.explode("words").alias("word"))
+    counted = exploded.groupBy("tid", "doc_len", "word").agg(F.count("*").alias("cnt"))
+    return counted.select("tid", "word", "cnt", "doc_len")
 
 
 def doc_freq(posts: DataFrame) -> DataFrame:
@@ -39,8 +42,9 @@ def doc_freq(posts: DataFrame) -> DataFrame:
 
 
 def with_impact(posts: DataFrame, stop: Sequence[str]) -> DataFrame:
-    """Add the effective words and the impact of each post."""
-    counted = posts.withColumn("effective", effective_words(F.col("content"), stop).cast("bigint"))
+    """Add the words, the number of effective words and the impact of each post."""
+    effective = F.size(F.filter("words", lambda w: ~w.isin(*stop))) if stop else F.size("words")
+    counted = with_words(posts).withColumn("effective", effective.cast("bigint"))
     value = scores.impact(F.col("effective"), F.col("favorite_count"), F.col("retweet_count"), F.col("followers_count"))
     return counted.withColumn("impact", value)
 
@@ -53,16 +57,15 @@ def word_weights(posts: DataFrame, stop: Sequence[str], keys: Sequence[str] = ()
     the document frequency. Both go through one aggregate that combines in the task: what is shuffled is the
     vocabulary of a task, not its words.
     """
-    impact = with_impact(posts, stop)
-    listed = impact.withColumn("_words", post_words(F.col("content")))
-    share = listed.withColumn("_share", scores.impact_weight(F.col("impact")) / F.nullif(F.size("_words"), F.lit(0)))
-    none = F.lit(0).cast("bigint")
-    occurrences = F.transform("_words", lambda w: F.struct(w.alias("word"), F.col("_share").alias("w"), none.alias("d")))
-    one = F.lit(1).cast("bigint")
+    valued = with_impact(posts, stop)
+    share = scores.impact_weight(F.col("impact")) / F.nullif(F.size("words"), F.lit(0))
+    shared = valued.withColumn("_share", share)
+    none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    occurrences = F.transform("words", lambda w: F.struct(w.alias("word"), F.col("_share").alias("w"), none.alias("d")))
     distinct = F.transform(
-        F.array_distinct("_words"), lambda w: F.struct(w.alias("word"), F.lit(0.0).alias("w"), one.alias("d"))
+        F.array_distinct("words"), lambda w: F.struct(w.alias("word"), F.lit(0.0).alias("w"), one.alias("d"))
     )
-    rows = share.select(*keys, F.inline(F.concat(occurrences, distinct)))
+    rows = shared.select(*keys, F.inline(F.concat(occurrences, distinct)))
     kept = rows.where(~F.col("word").isin(*stop)) if stop else rows
     return kept.groupBy(*keys, "word").agg(F.sum("w").alias("weight"), F.sum("d").alias("df"))
 

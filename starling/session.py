@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
@@ -51,3 +53,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that gives fewer tasks than there are cores, as one file with one row group does.
+
+    Only small inputs come out below the number of cores, so the shuffle this adds is small too; a large table is
+    left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def small_table(spark: SparkSession, rows: Sequence[Sequence], **types: pa.DataType) -> DataFrame:
+    """A table of a few literal rows. Its size is known to the optimizer, unlike that of rows sent as objects."""
+    columns = [[row[i] for row in rows] for i in range(len(types))]
+    arrays = [pa.array(values, kind) for values, kind in zip(columns, types.values(), strict=True)]
+    return spark.createDataFrame(pa.table(arrays, names=list(types)))

@@ -7,6 +7,7 @@ import zlib
 from functools import cached_property
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -15,6 +16,7 @@ from pyspark.sql.window import Window
 from starling.functions import ledger as fn
 from starling.operators.dedup import dedup_posts
 from starling.plans import ingest
+from starling.session import small_table, spread
 from starling.sources.files import term_list
 
 # Term lists and requests of the workload.
@@ -61,7 +63,7 @@ class Tables:
         """Line items as posts, with duplicated ids."""
         orders, part = self.read("orders"), self.read("part")
         joined = (
-            self.read("lineitem")
+            spread(self.read("lineitem"))
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(part, F.col("l_partkey") == F.col("p_partkey"))
         )
@@ -109,7 +111,7 @@ class Tables:
 
     @cached_property
     def topic_posts(self) -> DataFrame:
-        docs = self.read("documents")
+        docs = spread(self.read("documents"))
         pages = self.read("pages").select(F.col("page_id").alias("doc_id"), "url")
         joined = docs.join(pages, "doc_id", "left").join(self.read("labels"), "doc_id", "left")
         return joined.select(
@@ -183,7 +185,7 @@ class Tables:
         return self.terms(POPULAR)
 
     def terms(self, values: tuple[str, ...]) -> DataFrame:
-        return self.spark.createDataFrame([(v,) for v in values], "term string")
+        return small_table(self.spark, [(v,) for v in values], term=pa.string())
 
     @cached_property
     def stop(self) -> list[str]:
@@ -195,15 +197,15 @@ class Tables:
 
     @cached_property
     def contact_requests(self) -> DataFrame:
-        columns = "request_id int, uid bigint, type string, phrase string, hashtag string"
-        return self.spark.createDataFrame(list(CONTACT_REQUESTS), columns)
+        text = {c: pa.string() for c in ("type", "phrase", "hashtag")}
+        return small_table(self.spark, CONTACT_REQUESTS, request_id=pa.int32(), uid=pa.int64(), **text)
 
     @cached_property
     def topic_requests(self) -> DataFrame:
-        columns = (
-            "request_id int, uid_start bigint, uid_end bigint, time_start bigint, time_end bigint, n1 int, n2 int"
+        bounds = {c: pa.int64() for c in ("uid_start", "uid_end", "time_start", "time_end")}
+        return small_table(
+            self.spark, TOPIC_REQUESTS, request_id=pa.int32(), **bounds, n1=pa.int32(), n2=pa.int32()
         )
-        return self.spark.createDataFrame(list(TOPIC_REQUESTS), columns)
 
     @cached_property
     def ledger_txs(self) -> DataFrame:

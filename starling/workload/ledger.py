@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from starling.operators import ledger as ops
 from starling.plans.ledger import ledger_report
+from starling.session import materialize
 from starling.sources.payloads import decode_payload
 from starling.workload.adapters import BLOCKS_PER_PAYLOAD
 from starling.workload.registry import query
@@ -49,7 +50,12 @@ _audit("target", lambda t: ops.bad_targets(t.ledger_blocks))
 _audit("signature", lambda t: ops.bad_signatures(t.ledger_txs))
 _VERDICT = """SELECT chain_id, chain_id NOT IN (SELECT chain_id FROM invalid) AS valid
   FROM (SELECT DISTINCT chain_id FROM ledger_txs) AS c"""
-query("ledger_verdict", _VERDICT)(
-    lambda t: ops.verdicts(t.ledger_blocks, ops.invalid_chains(t.ledger_blocks, t.ledger_txs))
-)
+
+
+def _verdict(t):
+    blocks, txs = materialize(t.ledger_blocks, "blocks"), materialize(t.ledger_txs, "txs")
+    return ops.verdicts(blocks, ops.invalid_chains(blocks, txs))
+
+
+query("ledger_verdict", _VERDICT)(_verdict)
 query("q_ledger_verdict", _VERDICT)(lambda t: ledger_report(t.payloads, BLOCKS_PER_PAYLOAD))
