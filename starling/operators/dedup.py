@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from starling.session import materialize
+
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
     """The first row of each key."""
@@ -71,3 +73,19 @@ def dedup_by_replacement(posts: DataFrame) -> DataFrame:
     repeated = duplicates(posts, ["tid"]).select("tid")
     single = posts.join(repeated, "tid", "left_anti").select(*posts.columns)
     return single.unionByName(duplicate_survivors(posts))
+
+
+def row_ids(posts: DataFrame) -> DataFrame:
+    """Number the copies of each duplicated tid from 1.
+
+    The rows are stored first, so their place in the files is fixed. Each split of the files numbers its own rows of
+    a tid and the counts of the splits before are added: a tid with very many copies is never in one task.
+    """
+    stored = materialize(duplicate_rows(posts), "duplicates")
+    placed = stored.withColumn("_at", F.monotonically_increasing_id()).withColumn("_split", F.shiftright("_at", 33))
+    counts = placed.groupBy("tid", "_split").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("tid").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("tid", "_split", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("tid", "_split").orderBy("_at"))
+    numbered = placed.withColumn("_local", within).join(before, ["tid", "_split"])
+    return numbered.select((F.col("_before") + F.col("_local")).alias("row_id"), *posts.columns)

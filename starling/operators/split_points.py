@@ -1,6 +1,6 @@
 """Keys at evenly spaced ranks of a sorted key column, without sorting in one task.
 
-Keys are counted first, so a hot key is one row. A few cut keys, taken from a sample and put into the plan as
+Keys are counted first and stored, so a hot key is one row and the input is read once. A few cut keys, taken from a sample and put into the plan as
 literals, divide the keys into ordered buckets; they decide the balance of the work and not the result. Bucket
 totals give each bucket its first rank, and only ranks within a bucket are windowed.
 """
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from starling.session import small_table
+from starling.session import materialize, small_table
 
 # Keys drawn to choose the cuts.
 SAMPLE_KEYS = 20_000
@@ -28,7 +28,8 @@ def _cuts(keys: DataFrame, buckets: int) -> list:
 
 def split_points(df: DataFrame, key: str, parts: int, buckets: int = 64) -> DataFrame:
     """For i in 1..parts-1 the rank round(i * N / parts) and the key at that rank, ranks from 1."""
-    counted = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
+    keys = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
+    counted = materialize(keys, "keys")
     cuts = _cuts(counted.select("key"), buckets)
     bucket = F.lit(0)
     if cuts:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from starling.operators.documents import MAX_ROWS, typed_pair_docs
 from starling.operators.graph import edges, mirror, unordered, with_profile
 from starling.operators.hashtags import contact_overlap, tag_counts
+from starling.session import materialize
 
 COLUMNS = (
     "uid",
@@ -39,10 +40,11 @@ def combined(posts: DataFrame, users: DataFrame, popular: DataFrame, max_rows: i
 
     Everything but the profile is the same for both directions of a pair, so it is built once per unordered pair and
     mirrored last; a pair of a user with itself gives one row. Posts must be unique by tid and stored: they are read
-    once per branch, each with its own columns.
+    once per branch, each with its own columns. Pair facts and tag counts are stored here, as both are read again.
     """
-    facts = pair_facts(posts)
-    overlap = contact_overlap(facts, tag_counts(posts, popular)).withColumnRenamed("overlap", "hashtag_cnt")
+    facts = materialize(pair_facts(posts), "facts")
+    counts = materialize(tag_counts(posts, popular), "tags")
+    overlap = contact_overlap(facts, counts).withColumnRenamed("overlap", "hashtag_cnt")
     docs = typed_pair_docs(posts, max_rows)
     pairs = docs.join(facts.join(overlap, ["lo", "hi"]), ["lo", "hi"])
     return with_profile(mirror(pairs, "lo", "hi", self_twice=False), users).select(*COLUMNS)

@@ -12,6 +12,7 @@ from starling.operators.graph import edges, mirror, with_profile
 from starling.operators.hashtags import shared_tags, tag_counts
 from starling.operators.lookup import type_of
 from starling.operators.ranges import few
+from starling.session import materialize
 
 
 def request_contacts(requests: DataFrame, posts: DataFrame) -> DataFrame:
@@ -44,12 +45,12 @@ def request_contacts(requests: DataFrame, posts: DataFrame) -> DataFrame:
 
 
 def _overlap(contacts: DataFrame, posts: DataFrame, popular: DataFrame) -> DataFrame:
-    """Shared-tag totals of the requested pairs; tags are counted for users in those pairs only."""
+    """Shared-tag totals of the requested pairs; tags are counted for users in those pairs only, and stored."""
     low, high = pair_low(F.col("uid"), F.col("contact_uid")), pair_high(F.col("uid"), F.col("contact_uid"))
     pairs = contacts.select(low.alias("lo"), high.alias("hi")).distinct()
     involved = pairs.select(F.explode(F.array("lo", "hi")).alias("sender_uid")).distinct()
-    counts = tag_counts(posts.select("sender_uid", "hashtags").join(involved, "sender_uid", "left_semi"), popular)
-    return shared_tags(pairs, counts).withColumnRenamed("cnt", "overlap")
+    tagged = posts.select("sender_uid", "hashtags").join(involved, "sender_uid", "left_semi")
+    return shared_tags(pairs, materialize(tag_counts(tagged, popular), "tags")).withColumnRenamed("cnt", "overlap")
 
 
 def score_contacts(contacts: DataFrame) -> DataFrame:
@@ -68,8 +69,11 @@ def sort_contacts(scored: DataFrame) -> DataFrame:
 
 
 def recommend(requests: DataFrame, posts: DataFrame, users: DataFrame, popular: DataFrame) -> DataFrame:
-    """Scored contacts of each request with profile, latest post and the response line. Posts unique by tid."""
-    contacts = request_contacts(requests, posts)
+    """Scored contacts of each request with profile, latest post and the response line. Posts unique by tid.
+
+    The contacts are stored: later steps read them again, and their size decides which joins broadcast.
+    """
+    contacts = materialize(request_contacts(requests, posts), "contacts")
     overlap = _overlap(contacts, posts, popular)
     keyed = contacts.withColumns(
         {"lo": pair_low(F.col("uid"), F.col("contact_uid")), "hi": pair_high(F.col("uid"), F.col("contact_uid"))}

@@ -12,6 +12,7 @@ from starling.functions.text import censor, format_post
 from starling.operators import topics as ops
 from starling.operators.dedup import first_rows, newest_first
 from starling.operators.ranges import few, range_join
+from starling.session import materialize
 
 
 def _top(df: DataFrame, order: list, limits: DataFrame, limit: str, most: int, few_requests: bool) -> DataFrame:
@@ -60,7 +61,8 @@ def topics(
     """Ranked topic words and ranked posts of each request, banned words starred out."""
     few_requests = few(requests)
     found = hits(requests, posts, few_requests)
-    words = top_words(requests, found, stop, few_requests)
+    # A few rows per request, read again to select the posts.
+    words = materialize(top_words(requests, found, stop, few_requests), "words")
     best = top_posts(requests, found, words, stop, few_requests)
     # A word is always followed by its score in the report, so it never ends the text.
     masked = censor(F.col("word"), banned, mask_last=True)

@@ -22,6 +22,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Small tables still feed all cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -67,7 +67,9 @@ query(
 
 
 def _pairs_and_counts(t):
-    return graph.interactions(t.posts).select("lo", "hi"), hashtags.tag_counts(t.posts, t.popular)
+    posts = materialize(t.posts.select("tid", "sender_uid", "reply_to_uid", "retweet_to_uid", "hashtags"), "posts")
+    pairs = materialize(graph.interactions(posts).select("lo", "hi"), "pairs")
+    return pairs, materialize(hashtags.tag_counts(posts, t.popular), "tags")
 
 
 query("shared_hashtag_pairs", "SELECT lo, hi, overlap AS cnt FROM overlap WHERE lo <> hi AND overlap > 0")(
@@ -78,7 +80,7 @@ query("contact_hashtag_overlap", "SELECT lo, hi, overlap FROM overlap")(
 )
 
 # The combined table. The posts are stored once and read by every branch.
-_COMBINED = "SELECT * REPLACE (CAST(part AS BIGINT) AS part) FROM combined"
+_COMBINED = "SELECT * FROM combined"
 
 
 def _combined(t):
@@ -98,7 +100,7 @@ _RECOMMEND = """SELECT s.request_id, s.uid, s.contact_uid, CAST(s.phrase_matches
 
 
 def _recommend(t):
-    found = rec.recommend(t.contact_requests, t.posts, t.users, t.popular)
+    found = rec.recommend(t.contact_requests, materialize(t.posts, "posts"), t.users, t.popular)
     return found.withColumn("score", F.round("score", 6))
 
 

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from starling.functions.keys import pair_key
 from starling.operators import clean, dedup, graph, lookup, quality
+from starling.operators.documents import contact_docs
 from starling.operators.split_points import split_points
 from starling.plans import ingest
 from starling.plans.combined import combined
+from starling.session import materialize
 from starling.workload.registry import query
 from starling.workload.views import POST_COLUMNS
 
@@ -59,11 +61,11 @@ query("theta_keep_last", "SELECT * FROM posts WHERE tid IN (SELECT tid FROM post
 )
 query(
     "win_row_ids",
-    """SELECT tid, count(*) AS copies, CAST(max(rn) AS BIGINT) AS last_row FROM (SELECT tid, row_number() OVER
-  (PARTITION BY tid ORDER BY timestamp) AS rn FROM posts_raw) AS t GROUP BY 1 HAVING count(*) > 1""",
+    """SELECT tid, row_number() OVER (PARTITION BY tid) AS row_id FROM posts_raw
+  WHERE tid IN (SELECT tid FROM posts_raw GROUP BY 1 HAVING count(*) > 1)""",
 )(
-    # Row numbers of the copies of a tid run from 1 to their count; only the last one decides what is kept.
-    lambda t: dedup.duplicates(t.posts_raw, ["tid"]).select("tid", F.col("count").alias("copies"), F.col("count").alias("last_row"))
+    # Which copy gets which number is open; that each tid is numbered without gaps is not.
+    lambda t: dedup.row_ids(t.posts_raw).select("tid", "row_id")
 )
 query("agg_duplicate_keys", "SELECT tid, sender_uid, count(*) AS count FROM posts_raw GROUP BY 1, 2 HAVING count(*) > 1")(
     lambda t: dedup.duplicates(t.posts_raw, ["tid", "sender_uid"])
@@ -85,20 +87,18 @@ query(
 )(lambda t: dedup.latest_rows(t.user_mid))
 
 # Lookups.
-_DOCS = "SELECT uid, contact_uid, 0 AS part, content, hashtags FROM docs"
+_DOCS = "SELECT uid, contact_uid, CAST(0 AS BIGINT) AS part, content, hashtags FROM docs"
 
 
 def _docs_of(t, uid):
-    from starling.operators.documents import contact_docs
-
     wanted = graph.replies(t.posts).where((F.col("sender_uid") == uid) | (F.col("reply_to_uid") == uid))
     return lookup.lookup_contacts(contact_docs(wanted, "reply_to_uid"), uid)
 
 
-query("lookup_contacts", f"{_DOCS} WHERE type = 0 AND uid = 42")(lambda t: _docs_of(t, 42).withColumn("part", F.col("part").cast("int")))
+query("lookup_contacts", f"{_DOCS} WHERE type = 0 AND uid = 42")(lambda t: _docs_of(t, 42))
 query("lookup_contacts_by_type", "SELECT * FROM combined WHERE uid = 7 AND type = 1")(
-    lambda t: lookup.lookup_contacts_by_type(combined(t.posts, t.users, t.popular), 7, "retweet").withColumn(
-        "part", F.col("part").cast("int")
+    lambda t: lookup.lookup_contacts_by_type(
+        combined(materialize(t.posts, "posts"), t.users, t.popular), 7, "retweet"
     )
 )
 query(

@@ -138,7 +138,7 @@ VIEWS = {
     "overlap": """SELECT i.lo, i.hi, CAST(coalesce(s.overlap, 0) AS BIGINT) AS overlap FROM interaction i LEFT JOIN
   (SELECT lo, hi, sum(x.cnt + y.cnt) AS overlap FROM interaction JOIN tag_counts x ON x.uid = lo
    JOIN tag_counts y ON y.uid = hi AND y.tag = x.tag GROUP BY 1, 2) AS s ON s.lo = i.lo AND s.hi = i.hi""",
-    "combined": """SELECT d.uid, d.contact_uid, d.type, 0 AS part, i.cnt AS interaction, l.content AS latest_post,
+    "combined": """SELECT d.uid, d.contact_uid, d.type, CAST(0 AS BIGINT) AS part, i.cnt AS interaction, l.content AS latest_post,
   o.overlap AS hashtag_cnt, d.hashtags, d.content, coalesce(u.screen_name, '') AS screen_name,
   coalesce(u.description, '') AS description FROM docs d
   JOIN interaction i ON i.lo = least(d.uid, d.contact_uid) AND i.hi = greatest(d.uid, d.contact_uid)
