@@ -16,6 +16,7 @@ from starling.session import materialize, small_table
 
 # Keys drawn to choose the cuts.
 SAMPLE_KEYS = 20_000
+MAX_BUCKETS = 256
 
 
 def _cuts(keys: DataFrame, buckets: int) -> list:
@@ -26,8 +27,12 @@ def _cuts(keys: DataFrame, buckets: int) -> list:
     return sorted(set(drawn[step::step]))
 
 
-def split_points(df: DataFrame, key: str, parts: int, buckets: int = 64) -> DataFrame:
-    """For i in 1..parts-1 the rank round(i * N / parts) and the key at that rank, ranks from 1."""
+def split_points(df: DataFrame, key: str, parts: int, buckets: int | None = None) -> DataFrame:
+    """For i in 1..parts-1 the rank round(i * N / parts) and the key at that rank, ranks from 1.
+
+    There is one bucket per shuffle partition, up to MAX_BUCKETS.
+    """
+    buckets = buckets or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
     keys = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
     counted = materialize(keys, "keys")
     cuts = _cuts(counted.select("key"), buckets)

@@ -28,9 +28,11 @@ def _top(df: DataFrame, order: list, limits: DataFrame, limit: str, most: int, f
     return ranked.join(own, "request_id").where("rank <= _limit").drop("_limit")
 
 
-def hits(requests: DataFrame, posts: DataFrame, few_requests: bool) -> DataFrame:
-    """Posts of each request, one per tid."""
+def hits(requests: DataFrame, posts: DataFrame, few_requests: bool, unique: bool = False) -> DataFrame:
+    """Posts of each request, one per tid. Posts known to be unique are not shuffled for it."""
     found = range_join(requests, posts, few_requests)
+    if unique:
+        return found
     return first_rows(found, ["request_id", "tid"], newest_first(found, ["request_id", "tid"]))
 
 
@@ -56,11 +58,11 @@ def top_posts(
 
 
 def topics(
-    requests: DataFrame, posts: DataFrame, stop: Sequence[str], banned: Sequence[str]
+    requests: DataFrame, posts: DataFrame, stop: Sequence[str], banned: Sequence[str], unique: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Ranked topic words and ranked posts of each request, banned words starred out."""
     few_requests = few(requests)
-    found = hits(requests, posts, few_requests)
+    found = hits(requests, posts, few_requests, unique)
     # A few rows per request, read again to select the posts.
     words = materialize(top_words(requests, found, stop, few_requests), "words")
     best = top_posts(requests, found, words, stop, few_requests)
@@ -69,17 +71,18 @@ def topics(
     text = censor(F.col("content"), banned)
     return (
         words.select("request_id", "rank", "word", masked.alias("text"), "score"),
-        best.select(
-            "request_id", "rank", "tid", "impact", text.alias("text"), format_post(F.col("impact"), F.col("tid"), text).alias("line")
+        best.withColumn("text", text).select(
+            "request_id", "rank", "tid", "impact", "text", format_post(*map(F.col, ("impact", "tid", "text"))).alias("line")
         ),
     )
 
 
 def report(
-    requests: DataFrame, posts: DataFrame, stop: Sequence[str], banned: Sequence[str]
+    requests: DataFrame, posts: DataFrame, stop: Sequence[str], banned: Sequence[str], unique: bool = False
 ) -> DataFrame:
     """Both lists in one table: kind is `word` or `post`, value the score or the impact."""
-    words, best = topics(requests, posts, stop, banned)
-    return words.select("request_id", F.lit("word").alias("kind"), "rank", "text", F.col("score").alias("value")).unionByName(
-        best.select("request_id", F.lit("post").alias("kind"), "rank", F.col("line").alias("text"), F.col("impact").cast("double").alias("value"))
-    )
+    words, best = topics(requests, posts, stop, banned, unique)
+    impact = F.col("impact").cast("double").alias("value")
+    return words.select(
+        "request_id", F.lit("word").alias("kind"), "rank", "text", F.col("score").alias("value")
+    ).unionByName(best.select("request_id", F.lit("post").alias("kind"), "rank", F.col("line").alias("text"), impact))

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from starling.schemas import RAW_POST
 
 # Fixed value: the separator of delimited tables; post text holds commas and line breaks.
 SEPARATOR = "⊢"
 
+# Stands for quoted empty text while a file is read, which Spark would give as null.
+_EMPTY = "\ue000\ue001"
+
 # More terms than this do not go into an expression or to the driver.
-MAX_TERMS = 100_000
+MAX_TERMS = 10_000
 
 
 def read_posts(spark: SparkSession, path: str | list[str], parts: int | None = None) -> DataFrame:
@@ -41,11 +44,15 @@ def read_delimited(
     """A separated table with multi-line fields.
 
     Without a schema the types are inferred, which costs a pass over the data. Files give nullable columns
-    whatever the schema says, so columns that must be present are named in `required`.
+    whatever the schema says, so columns that must be present are named in `required`. A field with nothing in it is
+    null and a pair of quotes is empty text.
     """
-    reader = spark.read.options(sep=SEPARATOR, header=header, multiLine=True, escape='"', encoding="UTF-8")
+    options = {"sep": SEPARATOR, "header": header, "multiLine": True, "escape": '"', "emptyValue": _EMPTY}
+    reader = spark.read.options(**options, encoding="UTF-8")
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    table = reader.csv(path)
+    read = reader.csv(path)
+    texts = [f.name for f in read.schema.fields if f.dataType == StringType()]
+    table = read.withColumns({c: F.when(F.col(c) == _EMPTY, "").otherwise(F.col(c)) for c in texts})
     return table.dropna(subset=required) if required else table
 
 
