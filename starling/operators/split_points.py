@@ -1,8 +1,8 @@
 """Keys at evenly spaced ranks of a sorted key column, without sorting in one task.
 
-Keys are counted first and stored, so a hot key is one row and the input is read once. A few cut keys, taken from a sample and put into the plan as
-literals, divide the keys into ordered buckets; they decide the balance of the work and not the result. Bucket
-totals give each bucket its first rank, and only ranks within a bucket are windowed.
+Keys are counted first and stored, so a hot key is one row and the input is read once. A few cut keys, taken from a
+sample and put into the plan as literals, divide the keys into ordered buckets; they decide the balance of the work and
+not the result. Bucket totals give each bucket its first rank, and only ranks within a bucket are windowed.
 """
 
 from __future__ import annotations

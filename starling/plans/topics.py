@@ -29,11 +29,14 @@ def _top(df: DataFrame, order: list, limits: DataFrame, limit: str, most: int, f
 
 
 def hits(requests: DataFrame, posts: DataFrame, few_requests: bool, unique: bool = False) -> DataFrame:
-    """Posts of each request, one per tid. Posts known to be unique are not shuffled for it."""
+    """Posts of each request, one per tid.
+
+    Posts known to be unique are neither shuffled nor stored for it: the scan is repeated where they are needed.
+    """
     found = range_join(requests, posts, few_requests)
     if unique:
         return found
-    return first_rows(found, ["request_id", "tid"], newest_first(found, ["request_id", "tid"]))
+    return materialize(first_rows(found, ["request_id", "tid"], newest_first(found, ["request_id", "tid"])), "hits")
 
 
 def _limits(requests: DataFrame) -> tuple[int, int]:

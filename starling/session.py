@@ -57,14 +57,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that gives fewer tasks than there are cores, as one file with one row group does.
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that gives fewer tasks than there are cores, as one file with one row group does, by its row key.
 
     Only small inputs come out below the number of cores, so the shuffle this adds is small too; a large table is
     left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def small_table(spark: SparkSession, rows: Sequence[Sequence], **types: pa.DataType) -> DataFrame:

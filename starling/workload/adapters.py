@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from starling.functions import ledger as fn
 from starling.operators.dedup import dedup_posts
 from starling.plans import ingest
-from starling.session import small_table, spread
+from starling.session import materialize, small_table, spread
 from starling.sources.files import term_list
 
 # Term lists and requests of the workload.
@@ -63,7 +63,7 @@ class Tables:
         """Line items as posts, with duplicated ids."""
         orders, part = self.read("orders"), self.read("part")
         joined = (
-            spread(self.read("lineitem"))
+            spread(self.read("lineitem"), "l_orderkey", "l_linenumber")
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(part, F.col("l_partkey") == F.col("p_partkey"))
         )
@@ -92,6 +92,11 @@ class Tables:
     def posts(self) -> DataFrame:
         return dedup_posts(self.posts_raw)
 
+    @cached_property
+    def stored_posts(self) -> DataFrame:
+        """The same, written once for plans that read them several times."""
+        return materialize(self.posts, "posts")
+
     @cached_property
     def user_mid(self) -> DataFrame:
         return self.read("orders").select(
@@ -111,7 +116,7 @@ class Tables:
 
     @cached_property
     def topic_posts(self) -> DataFrame:
-        docs = spread(self.read("documents"))
+        docs = spread(self.read("documents"), "doc_id")
         pages = self.read("pages").select(F.col("page_id").alias("doc_id"), "url")
         joined = docs.join(pages, "doc_id", "left").join(self.read("labels"), "doc_id", "left")
         return joined.select(

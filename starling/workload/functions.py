@@ -100,7 +100,7 @@ query("fn_interaction_score", "SELECT lo, hi, round(1 + ln(1 + cnt), 6) AS score
     lambda t: graph.interactions(t.posts).select("lo", "hi", F.round(scores.interaction_score(C("cnt")), 6).alias("score"))
 )
 query("fn_contact_score", "SELECT request_id, contact_uid, round(score, 6) AS score FROM scored")(
-    lambda t: rec.recommend(t.contact_requests, t.posts, t.users, t.popular).select(
+    lambda t: rec.recommend(t.contact_requests, t.stored_posts, t.users, t.popular).select(
         "request_id", "contact_uid", F.round("score", 6).alias("score")
     )
 )

@@ -49,10 +49,10 @@ _DOCS = "SELECT uid, contact_uid, CAST(0 AS BIGINT) AS part, content, hashtags F
 _PAIR_DOCS = """SELECT least(a, b) AS lo, greatest(a, b) AS hi, CAST(0 AS BIGINT) AS part,
   string_agg(content, ',' ORDER BY timestamp, tid) AS content,
   string_agg(hashtags, ',' ORDER BY timestamp, tid, content) AS hashtags FROM edges WHERE type = {} GROUP BY 1, 2"""
-query("agg_contact_docs_reply", _DOCS.format(0))(lambda t: documents.reply_docs(t.posts))
-query("agg_contact_docs_retweet", _DOCS.format(1))(lambda t: documents.retweet_docs(t.posts))
-query("agg_keyword_pair_reply", _PAIR_DOCS.format(0))(lambda t: documents.pair_docs(t.posts, documents.REPLY))
-query("agg_keyword_pair_retweet", _PAIR_DOCS.format(1))(lambda t: documents.pair_docs(t.posts, documents.RETWEET))
+query("agg_contact_docs_reply", _DOCS.format(0))(lambda t: documents.reply_docs(t.stored_posts))
+query("agg_contact_docs_retweet", _DOCS.format(1))(lambda t: documents.retweet_docs(t.stored_posts))
+query("agg_keyword_pair_reply", _PAIR_DOCS.format(0))(lambda t: documents.pair_docs(t.stored_posts, documents.REPLY))
+query("agg_keyword_pair_retweet", _PAIR_DOCS.format(1))(lambda t: documents.pair_docs(t.stored_posts, documents.RETWEET))
 
 # Hashtags.
 query("anti_popular_tags", "SELECT uid, tag, timestamp, tid FROM kept_tags")(
@@ -63,7 +63,7 @@ query(
     "agg_user_hashtags",
     """SELECT uid AS sender_uid, CAST(0 AS BIGINT) AS part, string_agg(tag, ',' ORDER BY timestamp, tid, pos) AS hashtags
   FROM kept_tags GROUP BY 1""",
-)(lambda t: hashtags.user_tags(t.posts, t.popular))
+)(lambda t: hashtags.user_tags(t.stored_posts, t.popular))
 
 
 def _pairs_and_counts(t):
@@ -84,7 +84,7 @@ _COMBINED = "SELECT * FROM combined"
 
 
 def _combined(t):
-    return combined(materialize(t.posts, "posts"), t.users, t.popular)
+    return combined(t.stored_posts, t.users, t.popular)
 
 
 for _name in ("combine_contacts", "q_combined"):
@@ -100,7 +100,7 @@ _RECOMMEND = """SELECT s.request_id, s.uid, s.contact_uid, CAST(s.phrase_matches
 
 
 def _recommend(t):
-    found = rec.recommend(t.contact_requests, materialize(t.posts, "posts"), t.users, t.popular)
+    found = rec.recommend(t.contact_requests, t.stored_posts, t.users, t.popular)
     return found.withColumn("score", F.round("score", 6))
 
 

@@ -10,7 +10,6 @@ from starling.operators.documents import contact_docs
 from starling.operators.split_points import split_points
 from starling.plans import ingest
 from starling.plans.combined import combined
-from starling.session import materialize
 from starling.workload.registry import query
 from starling.workload.views import POST_COLUMNS
 
@@ -97,9 +96,7 @@ def _docs_of(t, uid):
 
 query("lookup_contacts", f"{_DOCS} WHERE type = 0 AND uid = 42")(lambda t: _docs_of(t, 42))
 query("lookup_contacts_by_type", "SELECT * FROM combined WHERE uid = 7 AND type = 1")(
-    lambda t: lookup.lookup_contacts_by_type(
-        combined(materialize(t.posts, "posts"), t.users, t.popular), 7, "retweet"
-    )
+    lambda t: lookup.lookup_contacts_by_type(combined(t.stored_posts, t.users, t.popular), 7, "retweet")
 )
 query(
     "lookup_pairs",
