@@ -3,7 +3,8 @@
 Tables: blocks (chain_id, pos, id, hash, pow, target, prev_hash, tx_hashes) and txs (chain_id, pos, idx, time, send,
 recv, amt, fee, hash, sig), amt and fee as text. The hash and number rules look at one row each. The rules that follow
 a chain in order work on segments of SEGMENT_BLOCKS blocks: windows run inside a segment and one value per segment is
-carried to the next, so a chain or account that holds much of the ledger is spread over many tasks.
+carried to the next, so a chain or account that holds much of the ledger is spread over many tasks. A block itself
+arrives inside one payload, which bounds it.
 """
 
 from __future__ import annotations
@@ -126,12 +127,12 @@ def bad_balances(txs: DataFrame) -> DataFrame:
     zero = F.lit(0)
     known = F.col("_count") + F.coalesce("_carried", zero)
     balance = F.coalesce("_sum", zero) + F.coalesce("_carry", zero)
-    amount_out = -F.col("delta")
     return (
         local.join(carried, [*account, "_seg"], "left")
-        .select("chain_id", "pos", "idx", "account", "side", known.alias("known"), balance.alias("balance"), amount_out.alias("amt"))
+        .withColumns({"known": known, "balance": balance, "amt": -F.col("delta")})
         .where("side = 0 AND (known = 0 OR balance < amt)")
-        .select("chain_id", "pos", "idx", F.col("account").alias("send"), "amt", "balance", (F.col("known") > 0).alias("known"))
+        .withColumn("known", F.col("known") > 0)
+        .select("chain_id", "pos", "idx", F.col("account").alias("send"), "amt", "balance", "known")
     )
 
 

@@ -70,12 +70,12 @@ def write_jdbc(
     truncate: bool = False,
     properties: dict[str, str] | None = None,
 ) -> None:
-    """Append to or replace a table. `connections` bounds how many tasks write at once.
+    """Append to or replace a table. `connections` bounds how many tasks write at once, not how many compute.
 
     A task that is run again after a lost executor may append its rows twice: replace, or load into a staging
     table with a key, where that matters.
     """
-    writer = df.coalesce(connections).write if connections else df.write
+    writer = df.repartition(connections).write if connections else df.write
     writer = writer.option("batchsize", batch).option("truncate", truncate)
     if types:
         writer = writer.option("createTableColumnTypes", types)

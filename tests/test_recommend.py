@@ -1,8 +1,12 @@
 import math
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from starling.functions.text import count_matches
 from starling.plans import recommend as rec
+from starling.plans.combined import combined
 
 
 @pytest.fixture
@@ -51,3 +55,38 @@ def test_posts_to_oneself_match_twice_and_count_once(posts_of, requests_of, user
 def test_unknown_user_gives_nothing(posts_of, requests_of, users, terms_of, rows):
     posts = posts_of((1, 10, "go", 2, 1, None, "t"))
     assert rows(rec.recommend(requests_of((1, 77, "both", "go", "t")), posts, users, terms_of())) == []
+
+
+def test_recommendations_agree_with_the_combined_table(posts_of, requests_of, users, terms_of, rows):
+    """For one type, matches counted per post are those in the documents; one user takes part in most posts."""
+    rng = random.Random(8)
+
+    def uid():
+        return rng.choice([1, 1, rng.randrange(1, 12)])
+
+    posts = posts_of(
+        *[
+            (
+                i,
+                rng.randrange(20),
+                " ".join(rng.choices(["go", "gogo", "Go", "x"], k=4)),
+                rng.choice([None, uid()]),
+                uid(),
+                rng.choice([None, uid()]),
+                ",".join(rng.choices(["A", "ab", "b", "pop"], k=3)),
+            )
+            for i in range(150)
+        ]
+    )
+    wide = combined(posts, users, terms_of("pop"))
+    for type_code, word in enumerate(("reply", "retweet")):
+        asked = [(u, u, word, "go", "A") for u in range(1, 12)]
+        got = rec.recommend(requests_of(*asked), posts, users, terms_of("pop"))
+        matches = count_matches(F.col("content"), F.lit("go")) + count_matches(F.lower("hashtags"), F.lit("a"))
+        expected = wide.where(F.col("type") == type_code).select(
+            "uid", "contact_uid", matches.alias("m"), "interaction", "hashtag_cnt", "latest_post", "screen_name"
+        )
+        line = F.split("line", "\t")
+        assert rows(
+            got.select("uid", "contact_uid", "matches", "interaction", "overlap", line[3], line[1])
+        ) == rows(expected)

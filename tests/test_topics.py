@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,3 +115,48 @@ def test_term_counts(topic_posts, rows):
     assert rows(ops.term_counts(posts)) == [(1, "a", 1, 3), (1, "b", 2, 3)]
     assert rows(ops.doc_freq(posts)) == [("a", 1), ("b", 1)]
     assert rows(posts.select(F.size(ops.post_words(F.col("content"))))) == [(3,)]
+
+
+def test_topics_against_brute_force(topic_posts, requests_of):
+    rng = random.Random(11)
+    vocabulary = ["cat", "Dog", "it's", "the", "a", "x-ray", "42", "http://cat.io/owl", "owl", "darn"]
+    posts = [
+        (
+            i % 50,
+            rng.randrange(10),
+            " ".join(rng.choices(vocabulary, k=rng.randrange(0, 9))),
+            rng.randrange(10),
+            rng.randrange(9),
+            rng.choice([None, 1, 2]),
+            rng.choice([None, 3]),
+        )
+        for i in range(50)
+    ]
+    asked = [(1, 0, 9, 0, 9, 4, 6), (2, 2, 6, 1, 8, 2, 3), (3, 3, 3, 0, 9, 99, 99)]
+    words, best = plan.topics(requests_of(*asked), topic_posts(*posts, *posts[:10]), STOP, ["darn"])
+
+    def terms(text, links):
+        text = text if links else re.sub(r"(https?|ftp)://[^\t\r\n /$.?#][^\t\r\n ]*", " ", text)
+        return [w.lower() for w in re.split(r"[^a-zA-Z0-9'-]+", text)]
+
+    for request, u0, u1, t0, t1, n1, n2 in asked:
+        inside = {p[0]: p for p in posts if u0 <= p[1] <= u1 and t0 <= p[3] <= t1}
+        lists = {tid: [w for w in terms(p[2], False) if re.search("[a-z]", w)] for tid, p in inside.items()}
+        impact = {
+            tid: sum(w not in STOP for w in lists[tid]) * sum(c or 0 for c in p[4:]) for tid, p in inside.items()
+        }
+        score = {}
+        for word in {w for ws in lists.values() for w in ws} - set(STOP):
+            df = sum(word in ws for ws in lists.values())
+            score[word] = sum(
+                ws.count(word) / len(ws) * math.log(len(inside) / df) * math.log(impact[tid] + 1)
+                for tid, ws in lists.items()
+                if word in ws
+            )
+        top = sorted(score, key=lambda w: (-round(score[w], 9), w))[:n1]
+        got = words.where(F.col("request_id") == request).orderBy("rank").collect()
+        assert [r.word for r in got] == top
+        assert [r.score for r in got] == pytest.approx([score[w] for w in top])
+        chosen = [tid for tid, p in inside.items() if set(terms(p[2], True)) & set(top)]
+        ranked = sorted(chosen, key=lambda tid: (-impact[tid], -tid))[:n2]
+        assert [r.tid for r in best.where(F.col("request_id") == request).orderBy("rank").collect()] == ranked
