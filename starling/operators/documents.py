@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.operators.graph import REPLY, RETWEET, edges, mirror, replies, retweets, unordered
+from starling.operators.graph import edges, mirror, replies, retweets, unordered
 
 # Rows in one document or part of one.
 MAX_ROWS = 50_000
@@ -91,16 +91,3 @@ def typed_pair_docs(posts: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     copies = F.when(F.col("lo") == F.col("hi"), 2).otherwise(1)
     doubled = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
     return concatenate(doubled, ["lo", "hi", "type"], _TIME, _DOC, max_rows=max_rows)
-
-
-__all__ = [
-    "REPLY",
-    "RETWEET",
-    "add_parts",
-    "concatenate",
-    "contact_docs",
-    "pair_docs",
-    "reply_docs",
-    "retweet_docs",
-    "typed_pair_docs",
-]

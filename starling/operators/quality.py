@@ -16,5 +16,7 @@ def check_numeric(df: DataFrame, column: str) -> DataFrame:
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per named table."""
-    counts = [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows") for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, counts)
+    counted = {name: df.agg(F.count("*").alias("rows")) for name, df in tables.items()}
+    return reduce(
+        DataFrame.unionByName, (one.select(F.lit(name).alias("name"), "rows") for name, one in counted.items())
+    )

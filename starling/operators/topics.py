@@ -29,7 +29,8 @@ def term_counts(posts: DataFrame) -> DataFrame:
 
     The length is taken in the row; only the count needs the shuffle.
     """
-    exploded = with_words(posts).select("tid", F.size("words").cast("bigint").alias("doc_len"), F.explode("words").alias("word"))
+    length = F.size("words").cast("bigint").alias("doc_len")
+    exploded = with_words(posts).select("tid", length, F.explode("words").alias("word"))
     counted = exploded.groupBy("tid", "doc_len", "word").agg(F.count("*").alias("cnt"))
     return counted.select("tid", "word", "cnt", "doc_len")
 

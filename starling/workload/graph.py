@@ -51,8 +51,8 @@ _PAIR_DOCS = """SELECT least(a, b) AS lo, greatest(a, b) AS hi, CAST(0 AS BIGINT
   string_agg(hashtags, ',' ORDER BY timestamp, tid, content) AS hashtags FROM edges WHERE type = {} GROUP BY 1, 2"""
 query("agg_contact_docs_reply", _DOCS.format(0))(lambda t: documents.reply_docs(t.stored_posts))
 query("agg_contact_docs_retweet", _DOCS.format(1))(lambda t: documents.retweet_docs(t.stored_posts))
-query("agg_keyword_pair_reply", _PAIR_DOCS.format(0))(lambda t: documents.pair_docs(t.stored_posts, documents.REPLY))
-query("agg_keyword_pair_retweet", _PAIR_DOCS.format(1))(lambda t: documents.pair_docs(t.stored_posts, documents.RETWEET))
+query("agg_keyword_pair_reply", _PAIR_DOCS.format(0))(lambda t: documents.pair_docs(t.stored_posts, graph.REPLY))
+query("agg_keyword_pair_retweet", _PAIR_DOCS.format(1))(lambda t: documents.pair_docs(t.stored_posts, graph.RETWEET))
 
 # Hashtags.
 query("anti_popular_tags", "SELECT uid, tag, timestamp, tid FROM kept_tags")(

@@ -57,6 +57,14 @@ def test_documents_of_hot_keys_come_in_whole_parts(spark):
         assert sorted(pieces) == sorted(c for k, _, _, c in data if k == key)
 
 
+def test_many_hot_keys_are_joined_without_a_broadcast(spark, monkeypatch, rows):
+    monkeypatch.setattr(documents, "MAX_HOT_KEYS", 1)
+    df = spark.range(60).selectExpr("id % 3 AS k", "id AS tid", "concat('p', id) AS content")
+    got = documents.concatenate(df, ["k"], ["tid"], ["content"], max_rows=5).collect()
+    assert len(got) > 6
+    assert sorted(c for r in got for c in r.content.split(",")) == sorted(f"p{i}" for i in range(60))
+
+
 def test_user_tags_keep_time_order_and_drop_popular_ones(posts_of, terms_of, rows):
     posts = posts_of(
         (2, 20, "b", None, 1, None, "C,Hot"), (1, 10, "a", None, 1, None, "B,a,B"), (3, 5, "c", None, 2, None, "hot")
