@@ -8,9 +8,11 @@ import numpy as np
 
 # An odd number near 2**64 / golden ratio: base of the polynomial hashes.
 BASE = 0x9E3779B97F4A7C15
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_MASK = (1 << 64) - 1
+# Bytes between words: space, tab and line ends; or these and ASCII punctuation.
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+PUNCTUATION = SPACE.copy()
+PUNCTUATION[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -57,12 +59,24 @@ def sliding_min(values: np.ndarray, length: int) -> np.ndarray:
     return np.minimum(block[: len(values) - length + 1], block[rest : rest + len(values) - length + 1])
 
 
+def fold(data: np.ndarray) -> np.ndarray:
+    """Lower-case letters of ASCII and of the Latin-1 part, in UTF-8 bytes. Places stay as they are."""
+    out = data.copy()
+    out[(data >= 0x41) & (data <= 0x5A)] |= 0x20
+    if len(data) > 1:
+        second = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+        out[1:][second] |= 0x20
+    return out
+
+
 @dataclass
 class Words:
-    """Words (runs of bytes other than space, tab and line ends) of several texts, one after the other."""
+    """Words (runs of bytes that do not separate words) of several texts, one after the other."""
 
+    data: np.ndarray  # the bytes of all texts, each followed by a line end
+    offsets: np.ndarray  # text i begins at offsets[i]
     hashes: np.ndarray  # of each word
-    starts: np.ndarray  # first byte of each word, counted within its text
+    starts: np.ndarray  # its first byte in data
     ends: np.ndarray
     bounds: np.ndarray  # words of text i are bounds[i] : bounds[i + 1]
 
@@ -81,22 +95,27 @@ class Words:
         return mix(hashes[first]), first
 
 
-def words_of(texts: list[bytes]) -> Words:
+def words_of(texts: list[bytes], between: np.ndarray = SPACE, folded: bool = False) -> Words:
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    if folded:
+        data = fold(data)
     offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
-    inside = ~_SPACE[data]
+    inside = ~between[data]
     edges = np.flatnonzero(np.diff(inside, prepend=False))
     starts, ends = edges[0::2], edges[1::2]
     bounds = np.searchsorted(starts, offsets)
+    return Words(data, offsets, hash_spans(data, starts, ends), starts, ends, bounds)
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each span of bytes; spans follow each other, do not overlap and are not empty."""
     if not len(starts):
-        return Words(np.empty(0, np.uint64), starts, ends, bounds)
+        return np.empty(0, np.uint64)
     sizes = ends - starts
-    longest = int(sizes.max())
-    powers = np.ones(longest, np.uint64)
-    powers[1:] = np.uint64(BASE)
+    powers = np.full(int(sizes.max()), BASE, np.uint64)
+    powers[0] = 1
     powers = np.multiply.accumulate(powers)
     firsts = np.cumsum(sizes) - sizes
     place = np.arange(int(sizes.sum())) - np.repeat(firsts, sizes)
-    hashes = np.add.reduceat(BYTE[data[inside]] * powers[place], firsts)
-    base = np.repeat(offsets[:-1], np.diff(bounds))
-    return Words(mix(hashes + sizes.astype(np.uint64)), starts - base, ends - base, bounds)
+    values = BYTE[data[place + np.repeat(starts, sizes)]] * powers[place]
+    return mix(np.add.reduceat(values, firsts) + sizes.astype(np.uint64))

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Texts handled together in one step of a task, in characters.
@@ -42,10 +42,14 @@ def steps(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[p
             yield batch.slice(start)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_class: int) -> DataFrame:
-    """A bounded sample of labelled texts of both classes: at most per_class of each, in the order of a hash of the id.
+def labelled(
+    docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_class: int, max_chars: int
+) -> DataFrame:
+    """A bounded sample of labelled texts: doc_id, text, label (0 or 1) and weight.
 
-    Documents whose crc32(doc_id) mod folds is held_out are never used. The label comes as an int, 0 or 1.
+    At most per_class documents of each class are taken, in the order of a hash of the id, and of these the ones with at
+    most max_chars characters. Documents whose crc32(doc_id) mod folds is held_out are never used. The weight of a row
+    says for how many labelled documents of its class it stands.
     """
     known = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[label].cast("int").alias("label"))
     known = known.filter(F.col("label").isin(0, 1) & ~is_held_out(F.col("doc_id"), folds, held_out)).distinct()
@@ -53,9 +57,12 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_ou
         known.filter(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         for value in (0, 1)
     ]
+    counts = known.groupBy("label").agg(F.count("*").alias("there"))
     # At most 2 * per_class rows of two numbers.
     chosen = F.broadcast(picked[0].unionByName(picked[1]))
-    return doc_texts(docs).join(chosen, "doc_id")
+    sample = doc_texts(docs).join(chosen, "doc_id").filter(F.length("text") <= max_chars)
+    weight = F.col("there") / F.count("*").over(Window.partitionBy("label"))
+    return sample.join(F.broadcast(counts), "label").select("doc_id", "text", "label", weight.alias("weight"))
 
 
 def is_held_out(doc_id: Column, folds: int, remainder: int) -> Column:

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starling.llm import packing, token_counts, url_filter
+from starling.llm import bagminhash, decontamination, packing, quality, token_counts, toxicity, url_filter
+from starling.llm.common import is_held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Queries that SQL can express as well.
@@ -55,3 +56,34 @@ def packed(docs: DataFrame) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(table(spark, folder, "documents"))
+
+
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.fit(toxicity.sample_of(docs, labels, folds=3, held_out=1))
+    scored = toxicity.rejected(toxicity.toxicity(docs, model), threshold=0.7)
+    held_out = is_held_out(F.col("doc_id"), 3, 1)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "sentences")
+
+
+@query
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = quality.quality(docs, quality.fit(quality.sample_of(docs, labels, folds=5, held_out=0)))
+    held_out = is_held_out(F.col("doc_id"), 5, 0)
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """class_id is the smallest doc_id of the class; kept marks the one document of it that stays."""
+    found = bagminhash.near_duplicates(table(spark, folder, "documents"))
+    kept = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("copy") == F.col("class_copy"))
+    return found.select("doc_id", "class_id", kept.alias("kept"))
