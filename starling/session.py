@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "16g") -> SparkSession:
@@ -50,11 +51,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write once, read many times.
 
     Used where several branches of a plan read the same costly input. Parquet, so each branch still prunes
-    its columns and pushes its filters, and a lost executor costs a re-read and not a re-run.
+    its columns and pushes its filters, and a lost executor costs a re-read and not a re-run. What the job shuffled is of
+    no use once it is written, so its shuffle files go when it ends.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    before = spark.conf.get(_DROP_SHUFFLES, "false")
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
