@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 # Texts handled together in one step of a task, in characters.
 STEP_CHARS = 1 << 20
+NO_ID = -(1 << 63)
 
 
 def text_of(docs: DataFrame) -> Column:
@@ -24,8 +27,9 @@ def doc_texts(docs: DataFrame) -> DataFrame:
 
 
 def keyed_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, copy and text: rows that agree in doc_id and copy are the same row, repeated."""
-    return doc_texts(docs).select("doc_id", F.xxhash64("text").alias("copy"), "text")
+    """doc_id, id, copy and text. Rows that agree in id and copy have the same text; id is doc_id, or NO_ID for null."""
+    key = F.coalesce("doc_id", F.lit(NO_ID))
+    return doc_texts(docs).select("doc_id", key.alias("id"), F.xxhash64("text").alias("copy"), "text")
 
 
 def steps(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -68,3 +72,25 @@ def labelled(
 def is_held_out(doc_id: Column, folds: int, remainder: int) -> Column:
     """Whether crc32 of the id, written as text, leaves this remainder. A null id is held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == remainder, F.lit(True))
+
+
+def joined_texts(docs: DataFrame, found: DataFrame, column: str, work: Callable, kinds: dict[str, pa.DataType]) -> DataFrame:
+    """All rows and columns of docs, and what `work` makes of each text and of what was found for it, or None.
+
+    found has one row for each id and copy (see keyed_texts). New columns replace those of the same name.
+    """
+    names = [c for c in docs.columns if c not in kinds]
+    key = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("id")
+    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), key, text_of(docs).alias("text"))
+    rows = rows.withColumn("copy", F.xxhash64("text")).join(found.select("id", "copy", column), ["id", "copy"], "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps(batches):
+            made = [work(t, x) for t, x in zip(step.column("text").to_pylist(), step.column(column).to_pylist(), strict=True)]
+            made = [pa.array(v, kind) for v, kind in zip(zip(*made, strict=True), kinds.values(), strict=True)]
+            yield pa.RecordBatch.from_arrays([step.column("row"), *made], names=["row", *kinds])
+
+    row = StructField("row", rows.schema["row"].dataType)
+    schema = StructType([row, *[StructField(n, from_arrow_type(k)) for n, k in kinds.items()]])
+    out = rows.select("row", "text", column).mapInArrow(run, schema)
+    return out.select(*[F.col("row")[c].alias(c) for c in names], *kinds)

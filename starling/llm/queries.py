@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starling.llm import bagminhash, decontamination, packing, quality, token_counts, toxicity, url_filter
+from starling.llm import bagminhash, decontamination, packing, quality, suffix_dedup, token_counts, toxicity, url_filter
 from starling.llm.common import is_held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,10 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = bagminhash.near_duplicates(table(spark, folder, "documents"))
     kept = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("copy") == F.col("class_copy"))
     return found.select("doc_id", "class_id", kept.alias("kept"))
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = suffix_dedup.without_repeats(docs)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
