@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starling.llm import bagminhash, block_dedup, decontamination, packing, quality, suffix_dedup, token_counts, toxicity, url_filter
+from starling.llm import (
+    bagminhash,
+    block_dedup,
+    decontamination,
+    fingerprints,
+    packing,
+    quality,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from starling.llm.common import is_held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +111,8 @@ def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op5_block_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = block_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents"))
