@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starling.llm.arrays import BASE, Words, mix, rolling, words_of
-from starling.llm.common import keyed_texts, steps, text_of
+from starling.llm.common import NO_ID, keyed_rows, keyed_texts, steps
 from starling.session import materialize
 
 SHINGLE = 5
@@ -219,9 +219,9 @@ def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
     pairs = shared.filter("copy <> hub").select(F.col("copy").alias("a"), F.col("hub").alias("b")).distinct()
 
     # Only texts that share a bucket are read again, one row for each.
-    wanted = shared.select(F.col("copy").alias("wanted")).distinct().join(nodes.select(F.col("copy").alias("wanted"), "first_id"), "wanted")
-    same_row = (F.col("copy") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
-    read = texts.join(wanted, same_row).select("doc_id", "copy", "text")
+    wanted = shared.select("copy").distinct().join(nodes, "copy")
+    wanted = wanted.select("copy", F.coalesce("first_id", F.lit(NO_ID)).alias("id"))
+    read = texts.join(wanted, ["copy", "id"]).select("copy", "text")
     units = materialize(with_units(read).dropDuplicates(["copy"]), "units")
 
     links = materialize(verified(pairs, units, least), "verified")
@@ -247,11 +247,9 @@ def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
 
 
 def representatives(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
-    """docs without all rows of a class but one, with its own columns."""
+    """docs without all rows of a class but one, with its own columns. A repeated row stays once."""
     found = near_duplicates(docs, least)
     kept = found.filter((F.col("copy") == F.col("class_copy")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
-    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("copy").alias("kept_copy")).distinct()
-    copy = F.xxhash64(text_of(docs))
-    same = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (copy == kept["kept_copy"])
-    # A repeated row stays once.
-    return docs.join(kept, same).dropDuplicates(["kept_id", "kept_copy"]).select(*[docs[c] for c in docs.columns])
+    kept = kept.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "copy").distinct()
+    rows = keyed_rows(docs).drop("text").join(kept, ["id", "copy"])
+    return rows.dropDuplicates(["id", "copy"]).select("row.*")

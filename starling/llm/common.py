@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -35,7 +36,7 @@ def keyed_texts(docs: DataFrame) -> DataFrame:
 def steps(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a step holds about STEP_CHARS characters, or one longer text."""
     for batch in batches:
-        sizes = pc.binary_length(batch.column(column)).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = held = 0
         for i, size in enumerate(sizes):
             if held and held + size > STEP_CHARS:
@@ -69,20 +70,35 @@ def labelled(
     return sample.join(F.broadcast(counts), "label").select("doc_id", "text", "label", weight.alias("weight"))
 
 
+def filtered_texts(docs: DataFrame, stays: Callable[[list[str]], np.ndarray]) -> DataFrame:
+    """The rows of docs, with all columns, whose texts stay. `stays` judges the texts of a step; null comes as empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps(batches):
+            yield step.filter(pa.array(stays([t or "" for t in step.column("text").to_pylist()])))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def is_held_out(doc_id: Column, folds: int, remainder: int) -> Column:
     """Whether crc32 of the id, written as text, leaves this remainder. A null id is held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == remainder, F.lit(True))
 
 
+def keyed_rows(docs: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """row (a struct of these columns of docs, or of all), id, copy and text."""
+    key = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("id")
+    row = F.struct(*[docs[c] for c in (docs.columns if names is None else names)]).alias("row")
+    return docs.select(row, key, text_of(docs).alias("text")).withColumn("copy", F.xxhash64("text"))
+
+
 def joined_texts(docs: DataFrame, found: DataFrame, column: str, work: Callable, kinds: dict[str, pa.DataType]) -> DataFrame:
     """All rows and columns of docs, and what `work` makes of each text and of what was found for it, or None.
 
     found has one row for each id and copy (see keyed_texts). New columns replace those of the same name.
     """
     names = [c for c in docs.columns if c not in kinds]
-    key = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("id")
-    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), key, text_of(docs).alias("text"))
-    rows = rows.withColumn("copy", F.xxhash64("text")).join(found.select("id", "copy", column), ["id", "copy"], "left")
+    rows = keyed_rows(docs, names).join(found.select("id", "copy", column), ["id", "copy"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starling.llm.arrays import PUNCTUATION, Words, words_of
-from starling.llm.common import doc_texts, steps, text_of
+from starling.llm.common import doc_texts, filtered_texts, steps, text_of
 
 GRAM = 3
 SHARE = 0.75
@@ -181,17 +181,24 @@ def alignments(words: Words, items: Items, found: pd.DataFrame) -> pd.DataFrame:
     return found.sort_values(["doc", "item", "score", "first"]).groupby(["doc", "item"]).tail(1)
 
 
+def matched(texts: list[str], items: Items, least: float) -> tuple[Words, pd.DataFrame]:
+    """Words of the texts, and the alignments that score enough."""
+    words = _words(texts)
+    found = regions(words, items)
+    if len(found):
+        found = alignments(words, items, found)
+        found = found[found["score"] >= least]
+    return words, found
+
+
 def _matches(docs: DataFrame, items: Items, least: float) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)  # a block of items
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches):
-            words = _words(step.column("text").to_pylist())
-            found = regions(words, shared.value)
+            words, found = matched(step.column("text").to_pylist(), shared.value, least)
             if not len(found):
                 continue
-            found = alignments(words, shared.value, found)
-            found = found[found["score"] >= least]
             doc = found["doc"].to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [
@@ -207,25 +214,42 @@ def _matches(docs: DataFrame, items: Items, least: float) -> DataFrame:
     return doc_texts(docs).mapInArrow(match, "doc_id long, item_id long, score double, start long, end long")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, block_grams: int = BLOCK_GRAMS) -> DataFrame:
-    """doc_id, item_id, score (0 to 1), and the bytes start to end (exclusive) of the passage, for scores from `least` on.
-
-    One row for each row of docs and item that match.
-    """
-    spark = docs.sparkSession
+def seeded_blocks(docs: DataFrame, benchmark: DataFrame, block_grams: int) -> Iterator[Items]:
+    """The test items in blocks, with their seeds."""
     tests = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), text_of(benchmark).alias("text"))
     # An item has fewer n-grams than half its characters.
     size = tests.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = size // (2 * block_grams) + 1
-    found = []
     for block in range(blocks):
         rows = tests.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         items = read_items(rows.orderBy("item_id", "text").toPandas())
         if len(items.grams):
-            found.append(_matches(docs, with_seeds(items, docs), least))
+            yield with_seeds(items, docs)
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, block_grams: int = BLOCK_GRAMS) -> DataFrame:
+    """doc_id, item_id, score (0 to 1), and the bytes start to end (exclusive) of the passage, for scores from `least` on.
+
+    One row for each row of docs and item that match.
+    """
+    found = [_matches(docs, items, least) for items in seeded_blocks(docs, benchmark, block_grams)]
     if not found:
-        return spark.createDataFrame([], "doc_id long, item_id long, score double, start long, end long")
+        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double, start long, end long")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
     return out
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, block_grams: int = BLOCK_GRAMS) -> DataFrame:
+    """The rows of docs that hold no passage of a test item."""
+    for items in seeded_blocks(docs, benchmark, block_grams):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+
+        def stays(texts: list[str], shared=shared) -> np.ndarray:
+            out = np.ones(len(texts), bool)
+            out[matched(texts, shared.value, least)[1]["doc"].to_numpy(int)] = False
+            return out
+
+        docs = filtered_texts(docs, stays)
+    return docs

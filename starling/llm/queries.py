@@ -61,7 +61,8 @@ def packed(docs: DataFrame) -> DataFrame:
     """Every piece of every document with its place; ids come as a checksum."""
     items = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048)
     items = items.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packing.pack(items, capacity=2048)
+    placed = packing.pack(items, capacity=2048)
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 @query

@@ -223,20 +223,33 @@ def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> Data
     return spans.select("id", "copy", span.alias("span")).distinct().groupBy("id", "copy").agg(F.collect_list("span").alias("spans"))
 
 
+def _kept(text: str, spans: list[dict] | None, length: int) -> tuple[bytes, int, int, int]:
+    """Remaining bytes, bytes there were, bytes removed, and maximal removed runs."""
+    data = text.encode()
+    if not spans:
+        return data, len(data), 0, 0
+    change = np.zeros(len(data) + 1, np.int64)
+    np.add.at(change, [s["start"] for s in spans], 1)
+    np.add.at(change, [s["end"] - 1 + length for s in spans], -1)
+    gone = np.cumsum(change[:-1]) > 0
+    runs = int(np.count_nonzero(np.diff(gone, prepend=False) & gone))
+    return np.frombuffer(data, np.uint8)[~gone].tobytes(), len(data), int(gone.sum()), runs
+
+
 def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """Add kept (the remaining bytes), n_bytes, n_removed and n_spans (maximal removed runs) to the rows of docs."""
     stored = materialize(repeats(docs, length, anchor), "repeats")
+    kinds = {"kept": pa.binary(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64()}
+    return joined_texts(docs, stored, "spans", lambda text, spans: _kept(text, spans, length), kinds)
 
-    def remove(text: str, spans: list[dict] | None) -> tuple[bytes, int, int, int]:
-        data = text.encode()
-        if not spans:
-            return data, len(data), 0, 0
-        change = np.zeros(len(data) + 1, np.int64)
-        np.add.at(change, [s["start"] for s in spans], 1)
-        np.add.at(change, [s["end"] - 1 + length for s in spans], -1)
-        gone = np.cumsum(change[:-1]) > 0
-        runs = int(np.count_nonzero(np.diff(gone, prepend=False) & gone))
-        return np.frombuffer(data, np.uint8)[~gone].tobytes(), len(data), int(gone.sum()), runs
 
-    kinds = {"kept": pa.binary(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64()}
-    return joined_texts(docs, stored, "spans", remove, kinds)
+def shortened(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+    """docs with the remaining text, and its n_chars. Bytes of a character that was cut are dropped."""
+    stored = materialize(repeats(docs, length, anchor), "repeats")
+
+    def shorten(text: str, spans: list[dict] | None) -> tuple[str, int]:
+        kept = _kept(text, spans, length)[0].decode(errors="ignore") if spans else text
+        return kept, len(kept)
+
+    out = joined_texts(docs, stored, "spans", shorten, {"text": pa.string(), "n_chars": pa.int64()})
+    return out.select(*docs.columns)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starling.llm.arrays import PUNCTUATION, Words, hash_spans, words_of
-from starling.llm.common import doc_texts, labelled, steps
+from starling.llm.common import doc_texts, filtered_texts, labelled, steps
 
 BITS = 18
 STEMS = (4, 6)  # bytes
@@ -149,3 +149,14 @@ def toxicity(docs: DataFrame, model: Model, offends: float = 0.5) -> DataFrame:
 def rejected(scored: DataFrame, threshold: float) -> DataFrame:
     """Add predicted: 1 for toxic."""
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
+    """The rows of docs that are not predicted to be toxic."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def stays(texts: list[str]) -> np.ndarray:
+        found = sentences_of([t.encode() for t in texts])
+        return noisy_or(sentence_scores(shared.value, found), found.doc, len(texts)) < threshold
+
+    return filtered_texts(docs, stays)
