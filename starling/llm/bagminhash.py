@@ -8,11 +8,14 @@ their weighted Jaccard likeness, without bias. Processes are followed only up to
 expected to change (and on, where one is still empty), so that a document costs about its shingles plus
 COMPONENTS * log(COMPONENTS) points.
 
-Candidates. Signatures are cut into BANDS bands of ROWS components. Documents that agree in a band meet in a bucket, and
-each is compared with the bucket's hub only, never all with all. A likeness of 0.8 is missed by all bands with a
-probability of 1.5e-4, one of 0.85 with 3e-7. Candidates are verified by the exact overlap of their multisets.
-Verified links make classes. Buckets in which several classes are left go on: in each further round more of the members
-outside the hub's class are compared with the members of other classes, until each of them has been.
+Candidates. The first half of a signature is cut into BANDS bands of ROWS components. Documents that agree in a band meet in a bucket. Its
+hub is the member that meets most others in all its buckets. A likeness of 0.8 is missed by all bands with a probability
+of 2e-4, one of 0.85 with 2e-6. Candidates are verified by the exact overlap of their multisets, and verified links make
+classes. No bucket is compared all with all: each document is first compared with the best connected of its hubs, which
+joins most of a group; then those that are in another class than the hub of a bucket, with that hub; then, a few at a
+time, with the members of other classes, until each of them has been. In this last step, pairs whose signatures agree in
+less than SCREEN of the components are left out before anything moves; for a likeness of 0.8 that is 3.5 standard
+deviations off, as rare as a miss by all bands.
 
 Copies of one text are one node throughout, however many there are.
 
@@ -36,9 +39,10 @@ from starling.llm.common import NO_ID, keyed_rows, keyed_texts, steps
 from starling.session import materialize
 
 SHINGLE = 5
-BANDS, ROWS = 48, 8
-COMPONENTS = BANDS * ROWS
+BANDS, ROWS = 28, 6
+COMPONENTS = 336  # the first BANDS * ROWS make the bands, all serve to screen pairs
 LIKENESS = 0.8
+SCREEN = 0.724
 _GOLDEN = np.uint64(BASE)
 
 
@@ -71,7 +75,7 @@ def signatures(doc: np.ndarray, hashes: np.ndarray, weights: np.ndarray, docs: i
     owner, weight = doc[shingle], weights[shingle]
     low = np.where(block > 0, 1 << np.maximum(block - 1, 0), 0)
     length = np.maximum(low, 1)
-    seed = mix(hashes[shingle] + (block.astype(np.uint64) + np.uint64(1)) * _GOLDEN)
+    seed = mix(mix(hashes[shingle]) + (block.astype(np.uint64) + np.uint64(1)) * _GOLDEN)
     total = np.bincount(doc, weights, docs)
     until = np.zeros(docs)
     until[total > 0] = (math.log(COMPONENTS) + 3) / total[total > 0]
@@ -109,27 +113,35 @@ def signatures(doc: np.ndarray, hashes: np.ndarray, weights: np.ndarray, docs: i
 
 def bands(signature: np.ndarray) -> np.ndarray:
     """One hash for each document and band."""
-    parts = signature.view(np.uint64).reshape(len(signature), BANDS, ROWS)
+    parts = signature[:, : BANDS * ROWS].copy().view(np.uint64).reshape(len(signature), BANDS, ROWS)
     out = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :] * _GOLDEN, len(signature), axis=0)
     for i in range(ROWS):
         out = mix(out * _GOLDEN + parts[:, :, i])
     return out.view(np.int64)
 
 
+def coded(signature: np.ndarray) -> np.ndarray:
+    """Components as 32-bit numbers that differ between components, so that equal ones can be counted as common members."""
+    places = np.arange(COMPONENTS, dtype=np.uint64) * _GOLDEN
+    return (mix(signature.view(np.uint64) + places) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, copy and bands (null for texts without words) from doc_id, copy and text."""
+    """doc_id, copy, units (how many shingles), bands and components (both null for texts without words) from doc_id, copy and text."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches):
             words = words_of([t.encode() for t in step.column("text").to_pylist()], folded=True)
             doc, hashes, weights = shingles(words)
-            keys = bands(signatures(doc, hashes, weights, step.num_rows))
-            there = np.bincount(doc, minlength=step.num_rows) > 0
-            listed = pa.array([row if some else None for row, some in zip(keys, there, strict=True)], pa.list_(pa.int64()))
-            columns = [step.column("doc_id"), step.column("copy"), listed]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "copy", "bands"])
+            signature = signatures(doc, hashes, weights, step.num_rows)
+            size = np.bincount(doc, weights, step.num_rows).astype(np.int64)
+            there = size > 0
+            columns = [step.column("doc_id"), step.column("copy"), pa.array(size)]
+            for rows, kind in ((bands(signature), pa.int64()), (coded(signature), pa.int32())):
+                columns.append(pa.array([r if some else None for r, some in zip(rows, there, strict=True)], pa.list_(kind)))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "copy", "units", "bands", "components"])
 
-    return docs.mapInArrow(sketch, "doc_id long, copy long, bands array<long>")
+    return docs.mapInArrow(sketch, "doc_id long, copy long, units long, bands array<long>, components array<int>")
 
 
 def with_units(docs: DataFrame) -> DataFrame:
@@ -184,24 +196,41 @@ def connected(links: DataFrame) -> DataFrame:
         roots = new.select("node", "root")
 
 
-def _further(shared: DataFrame, roots: DataFrame, used: DataFrame | None, width: int) -> tuple[DataFrame, DataFrame]:
+def _with_roots(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    members = shared.join(roots.withColumnRenamed("node", "copy"), "copy", "left")
+    return materialize(members.withColumn("root", F.coalesce("root", "copy")), "members")
+
+
+def _outside(members: DataFrame) -> DataFrame:
+    """Members whose class is not that of their bucket's hub."""
+    own = members.filter("copy = hub").select("bucket", F.col("root").alias("hub_root"))
+    return members.join(own, "bucket").filter("root <> hub_root").drop("hub_root")
+
+
+def _further(
+    members: DataFrame, nodes: DataFrame, used: DataFrame | None, width: int, least: float
+) -> tuple[DataFrame, DataFrame]:
     """Pivots (bucket, pivot) of the next round, and their pairs (a, b) with members of other classes.
 
     Pivots are members outside the class of their bucket's hub that were none before: up to `width` for each bucket, the
-    smallest of each of as many parts. They were compared with the hub already.
+    smallest of each of as many parts. They were compared with the hub already. A pair comes from one common bucket only.
     """
-    members = shared.join(roots.withColumnRenamed("node", "copy"), "copy", "left")
-    members = materialize(members.withColumn("root", F.coalesce("root", "copy")), "members")
-    own = members.filter("copy = hub").select("bucket", F.col("root").alias("hub_root"))
-    outside = members.join(own, "bucket").filter("root <> hub_root").select("bucket", "copy", "root")
+    outside = _outside(members)
     if used is not None:
         outside = outside.join(used.withColumnRenamed("pivot", "copy"), ["bucket", "copy"], "left_anti")
     part = F.pmod(F.xxhash64("copy"), F.lit(width))
     pivots = outside.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("copy", "root")).alias("pivot"))
-    pivots = materialize(pivots.select("bucket", F.col("pivot.copy").alias("pivot"), F.col("pivot.root").alias("own_root")), "pivots")
-    met = members.filter("copy <> hub").join(pivots, "bucket").filter("root <> own_root")
-    pairs = met.select(F.least("pivot", "copy").alias("a"), F.greatest("pivot", "copy").alias("b")).distinct()
-    return pivots.select("bucket", "pivot"), pairs
+    pivots = materialize(pivots.select("bucket", "pivot.copy", "pivot.root"), "pivots")
+    sketches = nodes.select("copy", "units", "bands", "components")
+    own = [F.col(c).alias(f"own_{c}") for c in ("copy", "root", "units", "bands", "components")]
+    left = pivots.join(sketches, "copy").select("bucket", *own)
+    right = members.filter("copy <> hub").join(pivots.select("bucket").distinct(), "bucket", "left_semi").join(sketches, "copy")
+    agree = F.size(F.array_intersect("own_components", "components")) >= int(SCREEN * COMPONENTS)
+    once = F.array_min(F.array_intersect("own_bands", "bands")) == F.col("bucket")
+    sizes = F.least("own_units", "units") >= least * F.greatest("own_units", "units")
+    met = left.join(right, "bucket").filter((F.col("root") != F.col("own_root")) & sizes & agree & once)
+    pairs = met.select(F.least("own_copy", "copy").alias("a"), F.greatest("own_copy", "copy").alias("b")).distinct()
+    return pivots.select("bucket", F.col("copy").alias("pivot")), pairs
 
 
 def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
@@ -211,29 +240,40 @@ def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
     """
     texts = keyed_texts(docs)
     # One node for each text; copies have the same bands.
-    nodes = sketched(texts).groupBy("copy").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
-    nodes = materialize(nodes, "nodes")
+    own = [F.first(c).alias(c) for c in ("units", "bands", "components")]
+    nodes = materialize(sketched(texts).groupBy("copy").agg(F.min("doc_id").alias("first_id"), *own), "nodes")
     members = nodes.select("copy", F.explode("bands").alias("bucket"))
-    hubs = members.groupBy("bucket").agg(F.min("copy").alias("hub"), F.count("*").alias("size")).filter("size > 1")
-    shared = materialize(members.join(hubs.select("bucket", "hub"), "bucket"), "buckets")
-    pairs = shared.filter("copy <> hub").select(F.col("copy").alias("a"), F.col("hub").alias("b")).distinct()
-
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    met = materialize(members.join(sizes, "bucket"), "met")
+    degrees = met.groupBy("copy").agg(F.sum("size").alias("degree"))
+    best = F.max(F.struct("degree", "copy")).alias("best")
+    hubs = met.join(degrees, "copy").groupBy("bucket").agg(best).select("bucket", F.col("best.copy").alias("hub"), F.col("best.degree").alias("degree"))
+    shared = materialize(met.select("copy", "bucket").join(hubs, "bucket"), "buckets")
     # Only texts that share a bucket are read again, one row for each.
     wanted = shared.select("copy").distinct().join(nodes, "copy")
     wanted = wanted.select("copy", F.coalesce("first_id", F.lit(NO_ID)).alias("id"))
-    read = texts.join(wanted, ["copy", "id"]).select("copy", "text")
+    # As many as the table has near duplicates: merged, never broadcast.
+    read = texts.join(wanted.hint("merge"), ["copy", "id"]).select("copy", "text")
     units = materialize(with_units(read).dropDuplicates(["copy"]), "units")
 
-    links = materialize(verified(pairs, units, least), "verified")
-    roots, used, width = connected(links), None, 4
+    first = shared.filter("copy <> hub").groupBy("copy").agg(F.max(F.struct("degree", "hub")).alias("best"))
+    first = first.select("copy", F.col("best.hub").alias("first"))
+    links = materialize(verified(first.select(F.col("copy").alias("a"), F.col("first").alias("b")), units, least), "verified")
+    members = _with_roots(shared, connected(links))
+    outside = _outside(members).join(first, "copy").filter("hub <> first")
+    pairs = outside.select(F.col("copy").alias("a"), F.col("hub").alias("b")).distinct()
+    links = links.unionByName(materialize(verified(pairs, units, least), "verified"))
+    roots = connected(links)
+    members, used, width = _with_roots(shared, roots), None, 4
     while True:
-        pivots, pairs = _further(shared, roots, used, width)
+        pivots, pairs = _further(members, nodes, used, width, least)
         if pivots.isEmpty():
             break
         new = materialize(verified(pairs, units, least), "verified")
         if not new.isEmpty():
             links = links.unionByName(new)
             roots = connected(links)
+            members = _with_roots(shared, roots)
         used = pivots if used is None else used.unionByName(pivots)
         width *= 4
 

@@ -32,6 +32,7 @@ from starling.llm.common import doc_texts, steps
 from starling.session import materialize
 
 GROUPS = 48
+LARGE = 4  # lengths from a 4th of the capacity on are large
 # Fixed value: how byte-level vocabularies of this family split a text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ENCODERS: dict[str, tiktoken.Encoding] = {}
@@ -215,15 +216,19 @@ def plan(counts: np.ndarray, capacity: int, groups: int = GROUPS) -> list[Run]:
     rest = counts.copy()
     runs = [Run(int(rest[capacity]), ((capacity, 1),), 0)] if rest[capacity] else []
     rest[capacity] = 0
-    smallest = capacity // 8
+    smallest = capacity // LARGE
     grouped = linear_groups(rest, smallest, groups)
     if grouped:
         sizes = [group[0][0] for group in grouped]
         demand = np.array([sum(many for _, many in group) for group in grouped], float)
-        for pattern, times in sorted(configurations(sizes, demand, capacity), key=lambda x: -x[1]):
-            if times >= 1:
-                places_of = [size for size, many in zip(sizes, pattern, strict=True) for _ in range(many)]
-                runs += substitute(places_of, int(times + 1e-9), rest, smallest, capacity)
+        used = [
+            ([size for size, many in zip(sizes, pattern, strict=True) for _ in range(many)], int(times + 1e-9))
+            for pattern, times in configurations(sizes, demand, capacity)
+        ]
+        # Configurations of the largest sizes first, while the lengths that fill their last places are there.
+        for pattern, times in sorted(used, reverse=True):
+            if times:
+                runs += substitute(pattern, times, rest, smallest, capacity)
     return best_fit([run for run in runs if run.holds], rest, capacity)
 
 
