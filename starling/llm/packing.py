@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from starling.llm.common import doc_texts, steps
 from starling.session import materialize
 
-GROUPS = 48
+GROUPS = 64
 LARGE = 4  # lengths from a 4th of the capacity on are large
 # Fixed value: how byte-level vocabularies of this family split a text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
