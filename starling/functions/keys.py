@@ -33,9 +33,9 @@ def pair_key(a: Column, b: Column) -> Column:
 
 
 def split_pair(pair: Column) -> tuple[Column, Column]:
-    """Text before the first and after the last underscore, as numbers."""
-    low = F.substring_index(pair, "_", 1).cast("bigint")
-    high = F.substring_index(pair, "_", -1).cast("bigint")
+    """Text before the first and after the last underscore, as numbers; null where it is none."""
+    low = F.substring_index(pair, "_", 1).try_cast("bigint")
+    high = F.substring_index(pair, "_", -1).try_cast("bigint")
     return low, high
 
 

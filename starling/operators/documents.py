@@ -1,8 +1,9 @@
-"""Concatenated texts per key.
+"""Concatenated texts per key, in pages.
 
-A document of a hot key could hold a large part of all rows, more than one row, task or string can. Keys with more
-than `max_rows` rows are therefore given in several parts: rows go to parts by a hash of their id, every row to
-exactly one, and each part is a document in time order. Keys below the bound, all but a few, have part 0 alone.
+A document of a hot key could hold a large part of all rows, more than one row, task or string can. So the rows of every
+key are numbered in time order and cut into pages of `page_rows` rows; column `part` numbers them from 0, and the pages
+of a key, joined in order, are its document. Rows are numbered within spans of time, and the counts of the spans are
+carried on, so no key comes together in one task for it.
 """
 
 from __future__ import annotations
@@ -11,49 +12,41 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from starling.operators.graph import edges, mirror, replies, retweets, unordered
 
-# Rows in one document or part of one.
-MAX_ROWS = 50_000
+# Rows in a page.
+PAGE_ROWS = 10_000
 
-# Hot keys up to this number are broadcast to the rows they split.
-MAX_HOT_KEYS = 100_000
+# Rows of a key are numbered within spans of so many seconds.
+SPAN_SECONDS = 7 * 24 * 3600
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
-    """Keys with more than max_rows rows and the number of parts they need."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > max_rows)
-    return counts.select(*keys, F.ceil(F.col("n") / max_rows).alias("parts"))
+def add_pages(df: DataFrame, keys: Sequence[str], order: Sequence[str], page_rows: int) -> DataFrame:
+    """Add `part`, the page of each row: its place among the rows of its key, by page_rows. The order starts with a time.
 
-
-def add_parts(df: DataFrame, keys: Sequence[str], spread: Sequence[str], max_rows: int) -> DataFrame:
-    """Add `part`: 0 but for keys beyond max_rows, whose rows are spread by a hash.
-
-    The number of hot keys is measured first: usually there are none and the rows are left where they are.
+    Keys are never null.
     """
-    hot = hot_keys(df, keys, max_rows)
-    found = hot.limit(MAX_HOT_KEYS + 1).count()
-    if found == 0:
-        return df.withColumn("part", F.lit(0).cast("bigint"))
-    split = df.join(F.broadcast(hot) if found <= MAX_HOT_KEYS else hot, list(keys), "left")
-    part = F.pmod(F.xxhash64(*spread), F.coalesce("parts", F.lit(1)))
-    return split.withColumn("part", part.cast("bigint")).drop("parts")
+    spans = df.withColumn("_span", F.coalesce(F.floor(F.col(order[0]) / SPAN_SECONDS), F.lit(-(1 << 62))))
+    counts = spans.groupBy(*keys, "_span").agg(F.count("*").alias("_rows"))
+    earlier = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+    placed = spans.withColumn("_place", F.row_number().over(Window.partitionBy(*keys, "_span").orderBy(*order)))
+    joined = placed.join(counts, [*keys, "_span"])
+    page = F.floor((F.col("_before") + F.col("_place") - 1) / page_rows)
+    return joined.withColumn("part", page.cast("bigint")).drop("_span", "_before", "_place")
 
 
 def concatenate(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    columns: Sequence[str],
-    spread: Sequence[str] = ("tid",),
-    max_rows: int = MAX_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], page_rows: int = PAGE_ROWS
 ) -> DataFrame:
-    """Comma-joined columns per key and part, in the given order."""
-    parted = add_parts(df, keys, spread, max_rows)
+    """Comma-joined columns per key and page, in the given order."""
     taken = [*order, *(c for c in columns if c not in order)]
+    paged = add_pages(df.select(*keys, *taken), keys, taken, page_rows)
+    # At most page_rows rows.
     pieces = F.array_sort(F.collect_list(F.struct(*taken)))
-    gathered = parted.groupBy(*keys, "part").agg(pieces.alias("_pieces"))
+    gathered = paged.groupBy(*keys, "part").agg(pieces.alias("_pieces"))
 
     def joined(column: str):
         return F.array_join(F.transform("_pieces", lambda p: F.coalesce(p[column], F.lit(""))), ",").alias(column)
@@ -65,10 +58,10 @@ _DOC = ("content", "hashtags")
 _TIME = ("timestamp", "tid")
 
 
-def contact_docs(contacts: DataFrame, target: str, max_rows: int = MAX_ROWS) -> DataFrame:
+def contact_docs(contacts: DataFrame, target: str, page_rows: int = PAGE_ROWS) -> DataFrame:
     """Texts and tags between a user and each contact, in both directions; a post to oneself counts twice."""
     both = mirror(contacts.select("sender_uid", target, *_TIME, *_DOC), "sender_uid", target)
-    return concatenate(both, ["uid", "contact_uid"], _TIME, _DOC, max_rows=max_rows)
+    return concatenate(both, ["uid", "contact_uid"], _TIME, _DOC, page_rows=page_rows)
 
 
 def reply_docs(posts: DataFrame) -> DataFrame:
@@ -79,15 +72,15 @@ def retweet_docs(posts: DataFrame) -> DataFrame:
     return contact_docs(retweets(posts), "retweet_to_uid")
 
 
-def pair_docs(posts: DataFrame, kind: int, max_rows: int = MAX_ROWS) -> DataFrame:
+def pair_docs(posts: DataFrame, kind: int, page_rows: int = PAGE_ROWS) -> DataFrame:
     """Texts and tags of each unordered pair for one type."""
     rows = unordered(edges(posts, *_TIME, *_DOC)).where(F.col("type") == kind)
-    return concatenate(rows.drop("type", "weight"), ["lo", "hi"], _TIME, _DOC, max_rows=max_rows)
+    return concatenate(rows.drop("type", "weight"), ["lo", "hi"], _TIME, _DOC, page_rows=page_rows)
 
 
-def typed_pair_docs(posts: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+def typed_pair_docs(posts: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
     """Documents of each pair and type, both types in one pass; posts to oneself count twice."""
     rows = unordered(edges(posts, *_TIME, *_DOC)).drop("weight")
     copies = F.when(F.col("lo") == F.col("hi"), 2).otherwise(1)
     doubled = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
-    return concatenate(doubled, ["lo", "hi", "type"], _TIME, _DOC, max_rows=max_rows)
+    return concatenate(doubled, ["lo", "hi", "type"], _TIME, _DOC, page_rows=page_rows)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starling.functions.text import split_tags
-from starling.operators.documents import MAX_ROWS, concatenate
+from starling.operators.documents import PAGE_ROWS, concatenate
 
 
 def drop_terms(df: DataFrame, terms: DataFrame, column: str = "tag") -> DataFrame:
@@ -35,10 +35,10 @@ def tag_counts(posts: DataFrame, popular: DataFrame) -> DataFrame:
     return drop_terms(counted, popular)
 
 
-def user_tags(posts: DataFrame, popular: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+def user_tags(posts: DataFrame, popular: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
     """All unpopular tags of each user as comma text, in order of time."""
     kept = drop_terms(tags(posts, "timestamp", "tid"), popular)
-    joined = concatenate(kept, ["uid"], ["timestamp", "tid", "pos"], ["tag"], max_rows=max_rows)
+    joined = concatenate(kept, ["uid"], ["timestamp", "tid", "pos"], ["tag"], page_rows=page_rows)
     return joined.select(F.col("uid").alias("sender_uid"), "part", F.col("tag").alias("hashtags"))
 
 

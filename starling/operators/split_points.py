@@ -16,13 +16,12 @@ from starling.session import materialize, small_table
 
 # Keys drawn to choose the cuts.
 SAMPLE_KEYS = 20_000
-MAX_BUCKETS = 256
 
 
 def _cuts(keys: DataFrame, buckets: int) -> list:
     total = keys.count()
     fraction = min(1.0, SAMPLE_KEYS / max(total, 1))
-    drawn = sorted(row.key for row in keys.sample(fraction=fraction, seed=7).limit(4 * SAMPLE_KEYS).collect())
+    drawn = sorted(row.key for row in keys.sample(fraction=fraction, seed=7).collect())
     step = max(1, len(drawn) // buckets)
     return sorted(set(drawn[step::step]))
 
@@ -30,9 +29,9 @@ def _cuts(keys: DataFrame, buckets: int) -> list:
 def split_points(df: DataFrame, key: str, parts: int, buckets: int | None = None) -> DataFrame:
     """For i in 1..parts-1 the rank round(i * N / parts) and the key at that rank, ranks from 1.
 
-    There is one bucket per shuffle partition, up to MAX_BUCKETS.
+    There is one bucket per shuffle partition. Only buckets that hold a wanted rank, at most parts - 1, are ranked.
     """
-    buckets = buckets or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
     counted = materialize(keys, "keys")
     cuts = _cuts(counted.select("key"), buckets)
@@ -51,7 +50,8 @@ def split_points(df: DataFrame, key: str, parts: int, buckets: int | None = None
         before += totals[number]
 
     ordered = Window.partitionBy("bucket").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.withColumn("last", F.sum("n").over(ordered)).withColumn("first", F.col("last") - F.col("n") + 1)
+    held = sorted({number for number, _, _ in targets})
+    ranked = placed.where(F.col("bucket").isin(held)).withColumn("last", F.sum("n").over(ordered)).withColumn("first", F.col("last") - F.col("n") + 1)
     asked = small_table(df.sparkSession, targets, bucket=pa.int32(), rank=pa.int64(), local=pa.int64())
     hit = ranked.join(F.broadcast(asked), "bucket").where(F.col("local").between(F.col("first"), F.col("last")))
     return hit.select("rank", F.col("key").alias("split_key"))

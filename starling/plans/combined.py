@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.operators.documents import MAX_ROWS, typed_pair_docs
-from starling.operators.graph import edges, mirror, unordered, with_profile
+from starling.operators.documents import PAGE_ROWS, typed_pair_docs
+from starling.operators.graph import interactions, latest_contact, latest_interaction, mirror, with_profile
 from starling.operators.hashtags import contact_overlap, tag_counts
 from starling.session import materialize
 
@@ -26,16 +26,15 @@ COLUMNS = (
 
 
 def pair_facts(posts: DataFrame) -> DataFrame:
-    """Interaction count and latest contact post of each unordered pair, in one aggregate.
+    """Interaction count and latest contact post of each unordered pair.
 
-    Both combine in the task, so a hot pair is one row per task and the texts shuffled are one per pair and task.
+    The counts are sums of numbers that combine in the task. The latest post is a first row, which each task picks for
+    itself before the shuffle, so a hot pair is one text per task; no text goes through an aggregate.
     """
-    rows = unordered(edges(posts, "timestamp", "tid", "content"))
-    newest = F.max_by("content", F.struct("timestamp", "tid", "content"))
-    return rows.groupBy("lo", "hi").agg(F.sum("weight").alias("interaction"), newest.alias("latest_post"))
+    return latest_interaction(latest_contact(posts), interactions(posts))
 
 
-def combined(posts: DataFrame, users: DataFrame, popular: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+def combined(posts: DataFrame, users: DataFrame, popular: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
     """Documents, shared tags, interactions, latest post and profile of each contact.
 
     Everything but the profile is the same for both directions of a pair, so it is built once per unordered pair and
@@ -45,6 +44,6 @@ def combined(posts: DataFrame, users: DataFrame, popular: DataFrame, max_rows: i
     facts = materialize(pair_facts(posts), "facts")
     counts = materialize(tag_counts(posts, popular), "tags")
     overlap = contact_overlap(facts, counts).withColumnRenamed("overlap", "hashtag_cnt")
-    docs = typed_pair_docs(posts, max_rows)
+    docs = typed_pair_docs(posts, page_rows)
     pairs = docs.join(facts.join(overlap, ["lo", "hi"]), ["lo", "hi"])
     return with_profile(mirror(pairs, "lo", "hi", self_twice=False), users).select(*COLUMNS)

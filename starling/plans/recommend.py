@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from starling.functions import scores
 from starling.functions.keys import pair_high, pair_low
 from starling.functions.text import count_matches, format_contact
+from starling.operators.dedup import first_rows
 from starling.operators.graph import edges, mirror, with_profile
 from starling.operators.hashtags import shared_tags, tag_counts
 from starling.operators.lookup import type_of
-from starling.operators.ranges import few
 from starling.session import materialize
 
+CONTACT = ("request_id", "uid", "contact_uid", "phrase_matches", "tag_matches", "interaction", "latest_post")
+
 
 def request_contacts(requests: DataFrame, posts: DataFrame) -> DataFrame:
     """Per request and contact: matches in posts of the asked type, interactions, and the latest contact post.
@@ -24,14 +26,13 @@ def request_contacts(requests: DataFrame, posts: DataFrame) -> DataFrame:
     asked = requests.select(
         "request_id", "uid", type_of(F.col("type")).alias("asked"), "phrase", F.lower("hashtag").alias("hashtag_term")
     )
-    known = F.broadcast(asked) if few(asked) else asked
     rows = mirror(edges(posts, "timestamp", "tid", "content", "hashtags"), "a", "b")
-    hits = rows.join(known, "uid")
+    # Which side is sent to all tasks is left to Spark, which knows the sizes.
+    hits = rows.join(asked, "uid")
 
     in_type = F.col("asked").isNull() | (F.col("asked") == F.col("type"))
     phrases = count_matches(F.col("content"), F.col("phrase"))
     tags = count_matches(F.lower("hashtags"), F.col("hashtag_term"))
-    newest = F.max_by("content", F.struct("timestamp", "tid", "content"))
     # A post to oneself comes twice among the documents but is one interaction.
     weight = F.col("weight") / F.when(F.col("uid") == F.col("contact_uid"), 2).otherwise(1)
     facts = hits.groupBy("request_id", "uid", "contact_uid").agg(
@@ -39,9 +40,13 @@ def request_contacts(requests: DataFrame, posts: DataFrame) -> DataFrame:
         F.sum(F.when(in_type, phrases).otherwise(0)).alias("phrase_matches"),
         F.sum(F.when(in_type, tags).otherwise(0)).alias("tag_matches"),
         F.sum(weight).cast("bigint").alias("interaction"),
-        newest.alias("latest_post"),
     )
-    return facts.where("in_type").drop("in_type")
+    newest = [F.desc("timestamp"), F.desc("tid"), F.desc("content")]
+    posts_of = hits.select("request_id", "contact_uid", "timestamp", "tid", "content")
+    latest = first_rows(posts_of, ["request_id", "contact_uid"], newest)
+    latest = latest.select("request_id", "contact_uid", F.col("content").alias("latest_post"))
+    # One uid for each request, so request and contact are the key.
+    return facts.where("in_type").drop("in_type").join(latest, ["request_id", "contact_uid"]).select(*CONTACT)
 
 
 def _overlap(contacts: DataFrame, posts: DataFrame, popular: DataFrame) -> DataFrame:

@@ -31,20 +31,31 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared folder the cluster names in spark.checkpoint.dir.
+def _scratch_of(spark: SparkSession) -> str:
+    """The folder of this application under the shared folder the cluster names in spark.checkpoint.dir.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a local master, which has no other machine, may do without that setting.
     """
+    app = spark.sparkContext.applicationId
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.sparkContext.applicationId
         if app not in _LOCAL_SCRATCH:
             _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="starling-")
         base = _LOCAL_SCRATCH[app]
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{app}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder for something that plans read again."""
+    return f"{_scratch_of(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all that the plans of this application have stored. Their results must not be read any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch_of(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -64,16 +75,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that gives fewer tasks than there are cores, as one file with one row group does, by its row key.
-
-    Only small inputs come out below the number of cores, so the shuffle this adds is small too; a large table is
-    left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def small_table(spark: SparkSession, rows: Sequence[Sequence], **types: pa.DataType) -> DataFrame:
     """A table of a few literal rows. Its size is known to the optimizer, unlike that of rows sent as objects."""
     columns = [[row[i] for row in rows] for i in range(len(types))]

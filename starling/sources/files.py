@@ -29,11 +29,6 @@ def read_posts(spark: SparkSession, path: str | list[str], parts: int | None = N
     return raw.repartition(parts) if parts else raw
 
 
-def first_files(pattern_prefix: str, count: int, suffix: str = ".gz", digits: int = 5) -> list[str]:
-    """Names of the first part files of a numbered set, such as the first 50."""
-    return [f"{pattern_prefix}{n:0{digits}d}{suffix}" for n in range(count)]
-
-
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],

@@ -10,6 +10,7 @@ from starling.plans import recommend as rec
 from starling.plans.combined import combined
 from starling.session import materialize
 from starling.workload.registry import query
+from starling.workload.views import paged
 
 _INTERACTION = "SELECT lo, hi, cnt FROM interaction"
 _PAIR_COUNT = "SELECT least(a, b) AS lo, greatest(a, b) AS hi, count(*) AS cnt FROM edges WHERE type = {} GROUP BY 1, 2"
@@ -45,12 +46,19 @@ query(
 )(lambda t: graph.with_profile(graph.mirror(graph.interactions(t.posts), "lo", "hi"), t.users))
 
 # Documents.
-_DOCS = "SELECT uid, contact_uid, CAST(0 AS BIGINT) AS part, content, hashtags FROM docs WHERE type = {}"
-_PAIR_DOCS = """SELECT least(a, b) AS lo, greatest(a, b) AS hi, CAST(0 AS BIGINT) AS part,
-  string_agg(content, ',' ORDER BY timestamp, tid) AS content,
-  string_agg(hashtags, ',' ORDER BY timestamp, tid, content) AS hashtags FROM edges WHERE type = {} GROUP BY 1, 2"""
+_DOCS = "SELECT uid, contact_uid, part, content, hashtags FROM docs WHERE type = {}"
+_PAIR_DOCS = f"""SELECT lo, hi, part, string_agg(content, ',' ORDER BY timestamp, tid, content) AS content,
+  string_agg(hashtags, ',' ORDER BY timestamp, tid, content, hashtags) AS hashtags
+  FROM ({paged("(SELECT *, least(a, b) AS lo, greatest(a, b) AS hi FROM edges WHERE type = {})", "lo, hi")}) AS p GROUP BY 1, 2, 3"""
+_SMALL_PAGES = f"""SELECT uid, contact_uid, part, string_agg(content, ',' ORDER BY timestamp, tid, content) AS content,
+  string_agg(hashtags, ',' ORDER BY timestamp, tid, content, hashtags) AS hashtags
+  FROM ({paged("(SELECT * FROM directed WHERE type = 1)", "uid, contact_uid", 3)}) AS p GROUP BY 1, 2, 3"""
 query("agg_contact_docs_reply", _DOCS.format(0))(lambda t: documents.reply_docs(t.stored_posts))
 query("agg_contact_docs_retweet", _DOCS.format(1))(lambda t: documents.retweet_docs(t.stored_posts))
+# Pages of three rows, so that most keys have several.
+query("agg_contact_docs_pages", _SMALL_PAGES)(
+    lambda t: documents.contact_docs(graph.retweets(t.stored_posts), "retweet_to_uid", page_rows=3)
+)
 query("agg_keyword_pair_reply", _PAIR_DOCS.format(0))(lambda t: documents.pair_docs(t.stored_posts, graph.REPLY))
 query("agg_keyword_pair_retweet", _PAIR_DOCS.format(1))(lambda t: documents.pair_docs(t.stored_posts, graph.RETWEET))
 
@@ -61,8 +69,8 @@ query("anti_popular_tags", "SELECT uid, tag, timestamp, tid FROM kept_tags")(
 query("agg_user_tag_counts", "SELECT uid, tag, cnt FROM tag_counts")(lambda t: hashtags.tag_counts(t.posts, t.popular))
 query(
     "agg_user_hashtags",
-    """SELECT uid AS sender_uid, CAST(0 AS BIGINT) AS part, string_agg(tag, ',' ORDER BY timestamp, tid, pos) AS hashtags
-  FROM kept_tags GROUP BY 1""",
+    f"""SELECT uid AS sender_uid, part, string_agg(tag, ',' ORDER BY timestamp, tid, pos) AS hashtags
+  FROM ({paged("kept_tags", "uid", order="timestamp, tid, pos")}) AS t GROUP BY 1, 2""",
 )(lambda t: hashtags.user_tags(t.stored_posts, t.popular))
 
 

@@ -36,6 +36,7 @@ query("coalesce_ids", "SELECT * FROM clean")(lambda t: t.clean_rows)
 query("cast_topic_types", f"SELECT {_TOPIC} FROM picked")(
     lambda t: clean.cast_topic(clean.coalesce_ids(clean.project_topic_posts(t.raw)))
 )
+query("q_topic_posts", f"SELECT {_TOPIC} FROM valid_topic WHERE lang = 'en'")(lambda t: ingest.topic_posts(t.raw))
 query("drop_profile_columns", f"SELECT {POST_COLUMNS} FROM clean")(lambda t: clean.to_posts(t.clean_rows))
 query("union_user_mid", "SELECT * FROM clean_users")(lambda t: clean.user_mid(t.clean_rows))
 query(
@@ -88,7 +89,7 @@ query(
 )(lambda t: dedup.latest_rows(t.user_mid))
 
 # Lookups.
-_DOCS = "SELECT uid, contact_uid, CAST(0 AS BIGINT) AS part, content, hashtags FROM docs"
+_DOCS = "SELECT uid, contact_uid, part, content, hashtags FROM docs"
 
 
 def _docs_of(t, uid):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from starling.operators.documents import PAGE_ROWS
 from starling.workload import adapters as a
 
 
@@ -65,6 +66,11 @@ def matches(x: str, p: str) -> str:
     return f"CASE WHEN length({p}) > 0 THEN (length({x}) - length(replace({x}, {p}, ''))) // length({p}) ELSE 0 END"
 
 
+def paged(rows: str, keys: str, size: int = PAGE_ROWS, order: str = "timestamp, tid, content, hashtags") -> str:
+    """Rows with their page among those of their keys."""
+    return f"SELECT *, (row_number() OVER (PARTITION BY {keys} ORDER BY {order}) - 1) // {size} AS part FROM {rows} AS paged"
+
+
 VIEWS = {
     "posts_raw": f"""SELECT l_orderkey * 10 + l_linenumber AS tid, {epoch('l_shipdate')} AS timestamp,
   concat(p_name, ' ', lower(p_type), ' ', o_orderpriority) AS content,
@@ -129,8 +135,9 @@ VIEWS = {
     "latest": """SELECT tid, lo, hi, content, timestamp FROM (SELECT *, row_number() OVER (PARTITION BY lo, hi
   ORDER BY timestamp DESC, tid DESC) AS rn FROM (SELECT least(a, b) AS lo, greatest(a, b) AS hi, * FROM edges) AS e) AS t
   WHERE rn = 1""",
-    "docs": """SELECT uid, contact_uid, type, string_agg(content, ',' ORDER BY timestamp, tid) AS content,
-  string_agg(hashtags, ',' ORDER BY timestamp, tid, content) AS hashtags FROM directed GROUP BY 1, 2, 3""",
+    "docs": f"""SELECT uid, contact_uid, type, part, string_agg(content, ',' ORDER BY timestamp, tid, content) AS content,
+  string_agg(hashtags, ',' ORDER BY timestamp, tid, content, hashtags) AS hashtags
+  FROM ({paged("directed", "uid, contact_uid, type")}) AS d GROUP BY 1, 2, 3, 4""",
     "tags": """SELECT sender_uid AS uid, lower(tag) AS tag, timestamp, tid, pos FROM (SELECT sender_uid, timestamp, tid,
   unnest(string_split(hashtags, ',')) AS tag, generate_subscripts(string_split(hashtags, ','), 1) AS pos FROM posts) AS t""",
     "kept_tags": "SELECT * FROM tags WHERE tag NOT IN (SELECT term FROM popular)",
@@ -138,7 +145,7 @@ VIEWS = {
     "overlap": """SELECT i.lo, i.hi, CAST(coalesce(s.overlap, 0) AS BIGINT) AS overlap FROM interaction i LEFT JOIN
   (SELECT lo, hi, sum(x.cnt + y.cnt) AS overlap FROM interaction JOIN tag_counts x ON x.uid = lo
    JOIN tag_counts y ON y.uid = hi AND y.tag = x.tag GROUP BY 1, 2) AS s ON s.lo = i.lo AND s.hi = i.hi""",
-    "combined": """SELECT d.uid, d.contact_uid, d.type, CAST(0 AS BIGINT) AS part, i.cnt AS interaction, l.content AS latest_post,
+    "combined": """SELECT d.uid, d.contact_uid, d.type, d.part, i.cnt AS interaction, l.content AS latest_post,
   o.overlap AS hashtag_cnt, d.hashtags, d.content, coalesce(u.screen_name, '') AS screen_name,
   coalesce(u.description, '') AS description FROM docs d
   JOIN interaction i ON i.lo = least(d.uid, d.contact_uid) AND i.hi = greatest(d.uid, d.contact_uid)

@@ -1,5 +1,5 @@
 import random
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,30 +39,22 @@ def test_contact_docs_double_posts_to_oneself(small, rows):
     assert (1, 2, "a,b", "x,y") in docs and (2, 1, "a,b", "x,y") in docs
 
 
-def test_documents_of_hot_keys_come_in_whole_parts(spark):
+def test_pages_in_order_are_the_document(spark, monkeypatch):
+    monkeypatch.setattr(documents, "SPAN_SECONDS", 7)
     rng = random.Random(1)
     # One key holds a third of all rows.
     data = [(0 if i % 3 == 0 else rng.randrange(1, 40), i, rng.randrange(50), f"p{i}") for i in range(900)]
     df = spark.createDataFrame(data, "k long, tid long, timestamp long, content string")
-    got = documents.concatenate(df, ["k"], ["timestamp", "tid"], ["content"], max_rows=40).collect()
-    whole, order = defaultdict(list), {f"p{tid}": (ts, tid) for _, tid, ts, _ in data}
-    parts = Counter(row.k for row in got)
+    got = documents.concatenate(df, ["k"], ["timestamp", "tid"], ["content"], page_rows=40).collect()
+    pages = defaultdict(dict)
     for row in got:
-        pieces = row.content.split(",")
-        assert pieces == sorted(pieces, key=order.get)
-        assert len(pieces) < 80
-        whole[row.k] += pieces
-    assert parts[0] >= 5 and all(n == 1 for k, n in parts.items() if k)
-    for key, pieces in whole.items():
-        assert sorted(pieces) == sorted(c for k, _, _, c in data if k == key)
-
-
-def test_many_hot_keys_are_joined_without_a_broadcast(spark, monkeypatch, rows):
-    monkeypatch.setattr(documents, "MAX_HOT_KEYS", 1)
-    df = spark.range(60).selectExpr("id % 3 AS k", "id AS tid", "concat('p', id) AS content")
-    got = documents.concatenate(df, ["k"], ["tid"], ["content"], max_rows=5).collect()
-    assert len(got) > 6
-    assert sorted(c for r in got for c in r.content.split(",")) == sorted(f"p{i}" for i in range(60))
+        pages[row.k][row.part] = row.content.split(",")
+    for key, held in pages.items():
+        want = [c for k, _, _, c in sorted(data, key=lambda r: (r[2], r[1])) if k == key]
+        assert sorted(held) == list(range(len(held)))
+        assert [c for part in sorted(held) for c in held[part]] == want
+        assert all(len(held[part]) == 40 for part in sorted(held)[:-1])
+    assert len(pages[0]) == 8
 
 
 def test_user_tags_keep_time_order_and_drop_popular_ones(posts_of, terms_of, rows):
