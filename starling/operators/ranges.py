@@ -10,10 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Requests up to this number are broadcast, as at most 65 cells each.
-MAX_BROADCAST_REQUESTS = 20_000
-
-
 def _cells(requests: DataFrame) -> DataFrame:
     wide = requests.where("uid_start <= uid_end AND time_start <= time_end")
     level = F.greatest(F.length(F.bin(F.col("uid_end") - F.col("uid_start"))) - 6, F.lit(0))
@@ -22,20 +18,18 @@ def _cells(requests: DataFrame) -> DataFrame:
     return leveled.withColumn("cell", F.explode(span))
 
 
-def few(requests: DataFrame) -> bool:
-    """Whether the requests have been counted and may be broadcast."""
-    return requests.limit(MAX_BROADCAST_REQUESTS + 1).count() <= MAX_BROADCAST_REQUESTS
-
+def range_join(requests: DataFrame, posts: DataFrame) -> DataFrame:
+    """Posts of each request (request_id, uid_start, uid_end, time_start, time_end), bounds inclusive.
 
-def range_join(requests: DataFrame, posts: DataFrame, few_requests: bool | None = None) -> DataFrame:
-    """Posts of each request (request_id, uid_start, uid_end, time_start, time_end), bounds inclusive."""
-    bounds = requests.select("request_id", "uid_start", "uid_end", "time_start", "time_end")
-    cells = _cells(bounds)
+    Posts outside all requests go first, by literal bounds that reach the scan. Which side is broadcast is left to Spark.
+    """
+    cells = _cells(requests.select("request_id", "uid_start", "uid_end", "time_start", "time_end"))
+    outer = [F.min("uid_start"), F.max("uid_end"), F.min("time_start"), F.max("time_end")]
     # At most 64 levels exist, whatever the number of requests.
-    levels = sorted(row.level for row in cells.select("level").distinct().collect())
-    if few(bounds) if few_requests is None else few_requests:
-        cells = F.broadcast(cells)
-    leveled = posts.withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels or [0]])))
+    levels, low, high, early, late = cells.agg(F.array_sort(F.collect_set("level")), *outer).first()
+    within = F.col("sender_uid").between(low, high) & F.col("timestamp").between(early, late)
+    asked = posts.where(within) if levels else posts.where(F.lit(False))
+    leveled = asked.withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels or [0]])))
     placed = leveled.withColumn("cell", F.expr("shiftright(sender_uid, level)"))
     inside = F.col("sender_uid").between(F.col("uid_start"), F.col("uid_end")) & F.col("timestamp").between(
         F.col("time_start"), F.col("time_end")

@@ -80,11 +80,11 @@ def topic_scores(posts: DataFrame, stop: Sequence[str]) -> DataFrame:
     return _scored(word_weights(posts, stop).withColumn("n", total), ())
 
 
-def request_topic_scores(hits: DataFrame, stop: Sequence[str], few_requests: bool) -> DataFrame:
-    """The same per request. N is one row per request, broadcast where the number of requests has been checked."""
+def request_topic_scores(hits: DataFrame, stop: Sequence[str]) -> DataFrame:
+    """The same per request. N is one row per request."""
     sizes = corpus_size(hits)
     weights = word_weights(hits, stop, ["request_id"])
-    return _scored(weights.join(F.broadcast(sizes) if few_requests else sizes, "request_id"), ["request_id"])
+    return _scored(weights.join(sizes, "request_id"), ["request_id"])
 
 
 def _scored(weights: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,11 +11,11 @@ from pyspark.sql.window import Window
 from starling.functions.text import censor, format_post
 from starling.operators import topics as ops
 from starling.operators.dedup import first_rows, newest_first
-from starling.operators.ranges import few, range_join
+from starling.operators.ranges import range_join
 from starling.session import materialize
 
 
-def _top(df: DataFrame, order: list, limits: DataFrame, limit: str, most: int, few_requests: bool) -> DataFrame:
+def _top(df: DataFrame, order: list, limits: DataFrame, limit: str, most: int) -> DataFrame:
     """The first rows of each request, as many as it asks for.
 
     `most`, the largest number asked for, is a literal: each task keeps that many rows per request before the
@@ -24,13 +24,12 @@ def _top(df: DataFrame, order: list, limits: DataFrame, limit: str, most: int, f
     window = Window.partitionBy("request_id").orderBy(*order)
     ranked = df.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= most)
     own = limits.select("request_id", F.col(limit).alias("_limit"))
-    own = F.broadcast(own) if few_requests else own
     return ranked.join(own, "request_id").where("rank <= _limit").drop("_limit")
 
 
-def hits(requests: DataFrame, posts: DataFrame, few_requests: bool) -> DataFrame:
+def hits(requests: DataFrame, posts: DataFrame) -> DataFrame:
     """Posts of each request, one per tid."""
-    found = range_join(requests, posts, few_requests)
+    found = range_join(requests, posts)
     return materialize(first_rows(found, ["request_id", "tid"], newest_first(found, ["request_id", "tid"])), "hits")
 
 
@@ -39,31 +38,28 @@ def _limits(requests: DataFrame) -> tuple[int, int]:
     return most.n1 or 0, most.n2 or 0
 
 
-def top_words(requests: DataFrame, found: DataFrame, stop: Sequence[str], few_requests: bool) -> DataFrame:
-    scored = ops.request_topic_scores(found, stop, few_requests)
-    return _top(scored, ops.rank_words(), requests, "n1", _limits(requests)[0], few_requests)
+def top_words(requests: DataFrame, found: DataFrame, stop: Sequence[str]) -> DataFrame:
+    scored = ops.request_topic_scores(found, stop)
+    return _top(scored, ops.rank_words(), requests, "n1", _limits(requests)[0])
 
 
-def top_posts(
-    requests: DataFrame, found: DataFrame, words: DataFrame, stop: Sequence[str], few_requests: bool
-) -> DataFrame:
+def top_posts(requests: DataFrame, found: DataFrame, words: DataFrame, stop: Sequence[str]) -> DataFrame:
     """Posts with any of the request's topic words, by impact. The words are at most n1 per request."""
     terms = words.groupBy("request_id").agg(F.collect_list("word").alias("_terms"))
-    joined = found.join(F.broadcast(terms) if few_requests else terms, "request_id")
+    joined = found.join(terms, "request_id")
     matching = joined.where(ops.has_any(F.col("content"), F.col("_terms"))).drop("_terms")
     valued = ops.with_impact(matching, stop)
-    return _top(valued, ops.rank_posts(), requests, "n2", _limits(requests)[1], few_requests)
+    return _top(valued, ops.rank_posts(), requests, "n2", _limits(requests)[1])
 
 
 def topics(
     requests: DataFrame, posts: DataFrame, stop: Sequence[str], banned: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """Ranked topic words and ranked posts of each request, banned words starred out."""
-    few_requests = few(requests)
-    found = hits(requests, posts, few_requests)
+    found = hits(requests, posts)
     # A few rows per request, read again to select the posts.
-    words = materialize(top_words(requests, found, stop, few_requests), "words")
-    best = top_posts(requests, found, words, stop, few_requests)
+    words = materialize(top_words(requests, found, stop), "words")
+    best = top_posts(requests, found, words, stop)
     # A word is always followed by its score in the report, so it never ends the text.
     masked = censor(F.col("word"), banned, mask_last=True)
     text = censor(F.col("content"), banned)

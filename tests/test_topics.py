@@ -82,8 +82,21 @@ def test_each_request_has_its_own_limits(topic_posts, requests_of):
     assert {r.request_id: r["count"] for r in best.groupBy("request_id").count().collect()} == {1: 3, 2: 1}
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_range_join_equals_the_inequality_join(spark, rows, few):
+def test_bounds_of_the_requests_reach_the_scan(spark, tmp_path):
+    spark.range(1000).selectExpr("id AS sender_uid", "id AS timestamp", "'x' AS content").write.parquet(f"{tmp_path}/posts")
+    requests = spark.createDataFrame(
+        [(1, 10, 20, 0, 99), (2, 15, 40, 5, 30)],
+        "request_id long, uid_start long, uid_end long, time_start long, time_end long",
+    )
+    found = range_join(requests, spark.read.parquet(f"{tmp_path}/posts"))
+    assert "GreaterThanOrEqual(sender_uid,10)" in found._jdf.queryExecution().executedPlan().toString()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert all(bound in plan for bound in (">= 10)", "<= 40)", ">= 0)", "<= 99)"))
+    assert found.groupBy("request_id").count().orderBy("request_id").collect() == [(1, 11), (2, 16)]
+    assert range_join(requests.limit(0), spark.read.parquet(f"{tmp_path}/posts")).collect() == []
+
+
+def test_range_join_equals_the_inequality_join(spark, rows):
     rng = random.Random(5)
     # One user writes a third of the posts.
     posts = [(i, 500 if i % 3 == 0 else rng.randrange(1 << 40), rng.randrange(1000)) for i in range(600)]
@@ -98,7 +111,7 @@ def test_range_join_equals_the_inequality_join(spark, rows, few):
     expected = sorted(
         ((i, tid) for i, a, b, t0, t1 in asked for tid, u, ts in posts if a <= u <= b and t0 <= ts <= t1), key=repr
     )
-    joined = range_join(r, p, few)
+    joined = range_join(r, p)
     assert rows(joined, "request_id", "tid") == expected
     plan_text = joined._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan_text and "NestedLoop" not in plan_text
