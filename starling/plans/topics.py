@@ -15,14 +15,21 @@ from starling.operators.ranges import range_join
 from starling.session import materialize
 
 
-def _top(df: DataFrame, order: list, limits: DataFrame, limit: str, most: int) -> DataFrame:
+# Parts in which the rows of a request are ranked first.
+PARTS = 32
+
+
+def _top(df: DataFrame, key: str, order: list, limits: DataFrame, limit: str, most: int) -> DataFrame:
     """The first rows of each request, as many as it asks for.
 
-    `most`, the largest number asked for, is a literal: each task keeps that many rows per request before the
-    shuffle. The own limit of a request is applied to what is left.
+    Rows of a request are ranked in PARTS parts first, by a hash of their key, and the first of each part are ranked
+    together: one task sees PARTS times `most`, the largest number asked for, whatever the request holds. Up to
+    Spark's threshold of 1,000 each task cuts its rows before the shuffle as well. The own limit comes last.
     """
+    parts = Window.partitionBy("request_id", F.pmod(F.xxhash64(key), F.lit(PARTS))).orderBy(*order)
+    first = df.withColumn("rank", F.row_number().over(parts)).where(F.col("rank") <= most).drop("rank")
     window = Window.partitionBy("request_id").orderBy(*order)
-    ranked = df.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= most)
+    ranked = first.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= most)
     own = limits.select("request_id", F.col(limit).alias("_limit"))
     return ranked.join(own, "request_id").where("rank <= _limit").drop("_limit")
 
@@ -40,7 +47,7 @@ def _limits(requests: DataFrame) -> tuple[int, int]:
 
 def top_words(requests: DataFrame, found: DataFrame, stop: Sequence[str]) -> DataFrame:
     scored = ops.request_topic_scores(found, stop)
-    return _top(scored, ops.rank_words(), requests, "n1", _limits(requests)[0])
+    return _top(scored, "word", ops.rank_words(), requests, "n1", _limits(requests)[0])
 
 
 def top_posts(requests: DataFrame, found: DataFrame, words: DataFrame, stop: Sequence[str]) -> DataFrame:
@@ -49,7 +56,7 @@ def top_posts(requests: DataFrame, found: DataFrame, words: DataFrame, stop: Seq
     joined = found.join(terms, "request_id")
     matching = joined.where(ops.has_any(F.col("content"), F.col("_terms"))).drop("_terms")
     valued = ops.with_impact(matching, stop)
-    return _top(valued, ops.rank_posts(), requests, "n2", _limits(requests)[1])
+    return _top(valued, "tid", ops.rank_posts(), requests, "n2", _limits(requests)[1])
 
 
 def topics(

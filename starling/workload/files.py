@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from starling.operators import quality
 from starling.operators.graph import interactions
 from starling.plans import ingest
 from starling.schemas import POST, USER_TAGS
@@ -35,20 +34,14 @@ def _json(t):
     return sources.read_posts(t.spark, path)
 
 
+_TOPIC_FIELDS = """tid, tid_str, timestamp, content, sender_uid, sender_uid_str, followers_count, favorite_count,
+  retweet_count, lang"""
+# Damaged lines, one per region, are rows of nulls.
 query(
     "scan_posts_json",
-    """SELECT count(*) + 5 AS lines, count(tid_str) AS text_ids, count(timestamp) AS times, count(content) AS texts,
-  CAST(sum(followers_count) AS BIGINT) AS followers FROM picked""",
-)(
-    # Damaged lines, one per region, are rows of nulls.
-    lambda t: ingest.clean.project_topic_posts(_json(t)).agg(
-        F.count("*").alias("lines"),
-        F.count("tid_str").alias("text_ids"),
-        F.count("timestamp").alias("times"),
-        F.count("content").alias("texts"),
-        F.sum("followers_count").alias("followers"),
-    )
-)
+    f"""SELECT {_TOPIC_FIELDS} FROM picked
+  UNION ALL SELECT {", ".join(["NULL"] * len(_TOPIC_FIELDS.split(",")))} FROM region""",
+)(lambda t: ingest.clean.project_topic_posts(_json(t)))
 query("q_clean_posts", f"SELECT {POST_COLUMNS} FROM clean")(lambda t: ingest.clean_posts(_json(t)))
 
 
@@ -121,13 +114,17 @@ def _dumped(t):
     path = scratch_path(t.spark, "dump")
     tables = {"posts": t.posts_raw, "users": t.users, "profiles": t.user_mid}
     sinks.export_tables(tables, path)
-    return quality.row_counts(sinks.restore_tables(t.spark, tables, path))
+    read = sinks.restore_tables(t.spark, tables, path)
+    # Each restored row as one text, by the name of its table.
+    rows = [read[name].select(F.lit(name).alias("name"), F.concat_ws("|", *tables[name].columns).alias("line")) for name in tables]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 query(
     "export_serving_tables",
-    """SELECT 'posts' AS name, count(*) AS rows FROM posts_raw UNION ALL SELECT 'users', count(*) FROM users
-  UNION ALL SELECT 'profiles', count(*) FROM user_mid""",
+    """SELECT 'posts' AS name, concat_ws('|', tid, timestamp, content, reply_to_uid, sender_uid, retweet_to_uid, hashtags, lang)
+  AS line FROM posts_raw UNION ALL SELECT 'users', concat_ws('|', uid, screen_name, description) FROM users
+  UNION ALL SELECT 'profiles', concat_ws('|', uid, screen_name, description, timestamp) FROM user_mid""",
 )(_dumped)
 
 

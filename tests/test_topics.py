@@ -82,6 +82,15 @@ def test_each_request_has_its_own_limits(topic_posts, requests_of):
     assert {r.request_id: r["count"] for r in best.groupBy("request_id").count().collect()} == {1: 3, 2: 1}
 
 
+def test_large_lists_are_ranked_in_parts_first(spark):
+    words = spark.range(20_000).selectExpr("1 AS request_id", "concat('w', id) AS word", "id * 7919 % 20011 + 0.0 AS score")
+    limits = spark.createDataFrame([(1, 5000)], "request_id int, n1 int")
+    found = plan._top(words, "word", ops.rank_words(), limits, "n1", 5000).orderBy("rank")
+    want = words.orderBy(*ops.rank_words()).limit(5000)
+    assert [r.word for r in found.collect()] == [r.word for r in want.collect()]
+    assert "pmod(xxhash64(word" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_bounds_of_the_requests_reach_the_scan(spark, tmp_path):
     spark.range(1000).selectExpr("id AS sender_uid", "id AS timestamp", "'x' AS content").write.parquet(f"{tmp_path}/posts")
     requests = spark.createDataFrame(
