@@ -108,6 +108,19 @@ def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+# The same by comparing all windows.
+ORACLE["op5_block_dedup"] = r"""WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+  h AS (SELECT r, generate_subscripts(hs, 1) AS i, unnest(hs) AS h FROM (SELECT r, list_transform(range(1, len(w) - 33),
+    lambda i: md5(array_to_string(w[i:i + 34], ' '))) AS hs FROM d WHERE len(w) >= 35) AS x),
+  twice AS (SELECT r, i FROM (SELECT *, count(*) OVER (PARTITION BY h) AS n FROM h) AS x WHERE n > 1),
+  gone AS (SELECT DISTINCT r, i + k AS p FROM (SELECT r, i, unnest(range(0, 35)) AS k FROM twice) AS x),
+  kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+    FROM (SELECT r, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM d) AS x ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(kept.n, 0) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)"""
+
+
 @query
 def op5_block_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = block_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
