@@ -13,8 +13,8 @@ hub is the member that meets most others in all its buckets. A likeness of 0.8 i
 of 2e-4, one of 0.85 with 2e-6. Candidates are verified by the exact overlap of their multisets, and verified links make
 classes. No bucket is compared all with all: each document is first compared with the best connected of its hubs, which
 joins most of a group; then those that are in another class than the hub of a bucket, with that hub; then, a few at a
-time, with the members of other classes, until each of them has been. In this last step, pairs whose signatures agree in
-less than SCREEN of the components are left out before anything moves; for a likeness of 0.8 that is 3.5 standard
+time, with the members of other classes, until each of them has been. In this last step, pairs whose signatures, by two bits of each component, agree
+in less than SCREEN of the components are left out before anything moves; for a likeness of 0.8 that is 3.5 standard
 deviations off, as rare as a miss by all bands.
 
 Copies of one text are one node throughout, however many there are.
@@ -42,7 +42,7 @@ SHINGLE = 5
 BANDS, ROWS = 28, 6
 COMPONENTS = 336  # the first BANDS * ROWS make the bands, all serve to screen pairs
 LIKENESS = 0.8
-SCREEN = 0.724
+SCREEN = 0.709
 _GOLDEN = np.uint64(BASE)
 
 
@@ -120,14 +120,27 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def coded(signature: np.ndarray) -> np.ndarray:
-    """Components as 32-bit numbers that differ between components, so that equal ones can be counted as common members."""
-    places = np.arange(COMPONENTS, dtype=np.uint64) * _GOLDEN
-    return (mix(signature.view(np.uint64) + places) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+def screens(signature: np.ndarray) -> np.ndarray:
+    """Two bits of each component, 32 components to a number."""
+    wide = -(-COMPONENTS // 32) * 32
+    bits = np.zeros((len(signature), wide), np.uint64)
+    bits[:, :COMPONENTS] = mix(signature.view(np.uint64)) >> np.uint64(62)
+    places = np.tile(np.arange(0, 64, 2, dtype=np.uint64), wide // 32)
+    return np.bitwise_or.reduce((bits << places).reshape(len(signature), -1, 32), axis=2).view(np.int64)
+
+
+def other_components(left: Column, right: Column) -> Column:
+    """In how many components two screens differ."""
+    out = F.lit(0)
+    for i in range(-(-COMPONENTS // 32)):
+        both = left[i].bitwiseXOR(right[i])
+        either = both.bitwiseOR(F.shiftrightunsigned(both, 1)).bitwiseAND(F.lit(0x5555555555555555))
+        out = out + F.bit_count(either)
+    return out
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, copy, units (how many shingles), bands and components (both null for texts without words) from doc_id, copy and text."""
+    """doc_id, copy, units (how many shingles), bands and screen (both null for texts without words) from doc_id, copy and text."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches):
@@ -137,11 +150,12 @@ def sketched(docs: DataFrame) -> DataFrame:
             size = np.bincount(doc, weights, step.num_rows).astype(np.int64)
             there = size > 0
             columns = [step.column("doc_id"), step.column("copy"), pa.array(size)]
-            for rows, kind in ((bands(signature), pa.int64()), (coded(signature), pa.int32())):
-                columns.append(pa.array([r if some else None for r, some in zip(rows, there, strict=True)], pa.list_(kind)))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "copy", "units", "bands", "components"])
+            for rows in (bands(signature), screens(signature)):
+                listed = [r if some else None for r, some in zip(rows, there, strict=True)]
+                columns.append(pa.array(listed, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "copy", "units", "bands", "screen"])
 
-    return docs.mapInArrow(sketch, "doc_id long, copy long, units long, bands array<long>, components array<int>")
+    return docs.mapInArrow(sketch, "doc_id long, copy long, units long, bands array<long>, screen array<long>")
 
 
 def with_units(docs: DataFrame) -> DataFrame:
@@ -221,11 +235,12 @@ def _further(
     part = F.pmod(F.xxhash64("copy"), F.lit(width))
     pivots = outside.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("copy", "root")).alias("pivot"))
     pivots = materialize(pivots.select("bucket", "pivot.copy", "pivot.root"), "pivots")
-    sketches = nodes.select("copy", "units", "bands", "components")
-    own = [F.col(c).alias(f"own_{c}") for c in ("copy", "root", "units", "bands", "components")]
+    sketches = nodes.select("copy", "units", "bands", "screen")
+    own = [F.col(c).alias(f"own_{c}") for c in ("copy", "root", "units", "bands", "screen")]
     left = pivots.join(sketches, "copy").select("bucket", *own)
     right = members.filter("copy <> hub").join(pivots.select("bucket").distinct(), "bucket", "left_semi").join(sketches, "copy")
-    agree = F.size(F.array_intersect("own_components", "components")) >= int(SCREEN * COMPONENTS)
+    # Two bits of different components are equal once in four times.
+    agree = other_components(F.col("own_screen"), F.col("screen")) <= int(0.75 * (1 - SCREEN) * COMPONENTS)
     once = F.array_min(F.array_intersect("own_bands", "bands")) == F.col("bucket")
     sizes = F.least("own_units", "units") >= least * F.greatest("own_units", "units")
     met = left.join(right, "bucket").filter((F.col("root") != F.col("own_root")) & sizes & agree & once)
@@ -240,7 +255,7 @@ def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
     """
     texts = keyed_texts(docs)
     # One node for each text; copies have the same bands.
-    own = [F.first(c).alias(c) for c in ("units", "bands", "components")]
+    own = [F.first(c).alias(c) for c in ("units", "bands", "screen")]
     nodes = materialize(sketched(texts).groupBy("copy").agg(F.min("doc_id").alias("first_id"), *own), "nodes")
     members = nodes.select("copy", F.explode("bands").alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
@@ -264,7 +279,7 @@ def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
     pairs = outside.select(F.col("copy").alias("a"), F.col("hub").alias("b")).distinct()
     links = links.unionByName(materialize(verified(pairs, units, least), "verified"))
     roots = connected(links)
-    members, used, width = _with_roots(shared, roots), None, 4
+    members, used, width = _with_roots(shared, roots), None, 16
     while True:
         pivots, pairs = _further(members, nodes, used, width, least)
         if pivots.isEmpty():
@@ -275,7 +290,7 @@ def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
             roots = connected(links)
             members = _with_roots(shared, roots)
         used = pivots if used is None else used.unionByName(pivots)
-        width *= 4
+        width *= 16
 
     classes = nodes.select("copy", "first_id").join(roots.withColumnRenamed("node", "copy"), "copy", "left")
     classes = classes.withColumn("root", F.coalesce("root", "copy"))
