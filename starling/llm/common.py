@@ -110,3 +110,18 @@ def joined_texts(docs: DataFrame, found: DataFrame, column: str, work: Callable,
     schema = StructType([row, *[StructField(n, from_arrow_type(k)) for n, k in kinds.items()]])
     out = rows.select("row", "text", column).mapInArrow(run, schema)
     return out.select(*[F.col("row")[c].alias(c) for c in names], *kinds)
+
+
+def finite_vectors(table: DataFrame, vector: str, others: tuple[str, ...]) -> DataFrame:
+    """These other columns, and vector as doubles, of the rows whose vector has neither null nor non-finite components."""
+    rows = table.select(*[table[c].alias(c) for c in others], table[vector].cast("array<double>").alias("vector"))
+    finite = F.forall("vector", lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
+    return rows.filter(F.col("vector").isNotNull() & finite)
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete what `materialize` has stored for this table, once a later one takes its place."""
+    spark = stored.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in stored.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
