@@ -14,11 +14,14 @@ from starling.llm import (
     decontamination,
     fingerprints,
     packing,
+    projection_forest,
     quality,
+    source_audit,
     suffix_dedup,
     token_counts,
     toxicity,
     url_filter,
+    vector_codes,
 )
 from starling.llm.common import is_held_out
 
@@ -130,3 +133,73 @@ def op5_block_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
+# All groups by all kept terms.
+ORACLE["op11_source_audit"] = r"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+  t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+  kept AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+  langs AS (SELECT lang, count(*) AS v, sum(total)::BIGINT AS words FROM kept GROUP BY lang),
+  n AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+  g AS (SELECT lang, source, coalesce(own, 0) AS own FROM (SELECT DISTINCT lang, source FROM d) AS x
+    LEFT JOIN (SELECT lang, source, sum(n)::BIGINT AS own FROM n GROUP BY lang, source) AS y USING (lang, source)),
+  p AS (SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n, 1 + 1000000000 * (coalesce(n.n, 0) + 2) // (own + 2 * v) AS p,
+      1 + 1000000000 * (total + 2) // (words + 2 * v) AS q
+    FROM g JOIN kept AS k USING (lang) JOIN langs USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+  f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::BIGINT AS value
+    FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+  pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g AS a
+    JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+  terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p WHERE n > 0 AND p > q),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) AS x)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+
+@query
+def op11_source_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return source_audit.audit(table(spark, folder, "documents"))
+
+
+@query
+def op12_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return projection_forest.neighbours(table(spark, folder, "embeddings"))
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Plain rounds: every part is compared with every entry."""
+    sql = [
+        f"""WITH whole AS (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS w
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  parts AS MATERIALIZED (SELECT r, part, w[part * len(w) // {parts} + 1:(part + 1) * len(w) // {parts}] AS v
+    FROM whole, (SELECT unnest(range({parts})) AS part) AS x),
+  book0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id, r) - 1 AS entry, v
+    FROM parts JOIN whole USING (r) QUALIFY row_number() OVER (PARTITION BY part ORDER BY vec_id, r) <= {entries})"""
+    ]
+    for i in range(rounds + 1):
+        sql.append(f"""near{i} AS MATERIALIZED (SELECT r, part, min(struct_pack(d, entry)) AS best FROM (SELECT r, p.part, entry,
+      list_dot_product(p.v, p.v) - 2 * list_dot_product(p.v, b.v) + list_dot_product(b.v, b.v) AS d
+      FROM parts AS p JOIN book{i} AS b USING (part)) AS x GROUP BY r, part)""")
+        if i < rounds:
+            sql.append(f"""book{i + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.v, b.v) AS v FROM book{i} AS b LEFT JOIN (
+      SELECT part, entry, list(mean ORDER BY place) AS v FROM (SELECT part, entry, place, floor(sum(x) / count(*)) AS mean FROM (
+        SELECT part, best.entry AS entry, generate_subscripts(v, 1) AS place, unnest(v) AS x FROM parts JOIN near{i} USING (r, part)) AS y
+        GROUP BY part, entry, place) AS z GROUP BY part, entry) AS m USING (part, entry))""")
+    sql.append(f"""flat AS (SELECT part, entry, generate_subscripts(v, 1) AS place, unnest(v)::BIGINT AS x FROM book{rounds}),
+  sha AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM flat),
+  coded AS (SELECT r, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error
+    FROM near{rounds} GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM whole JOIN coded USING (r), sha""")
+    return ",\n  ".join(sql[:-1]) + ",\n  " + sql[-1]
+
+
+ORACLE["op13_vector_codes"] = _codes_sql()
+
+
+@query
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.codes(vector_codes.encoded(table(spark, folder, "embeddings")))
