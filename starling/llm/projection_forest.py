@@ -12,6 +12,9 @@
 5. Rerank. Leaves are cut into units of at most about UNIT rows; a unit meets the queries that have reached one of its
    leaves, batch by batch, and keeps the best of each by exact products, ties with the smaller vec_id. The best of all
    units, each row once, are the result. Large leaves, and many queries, are split over several units.
+   This is done for the FIRST nearest leaves of a query, and then for the others: what is worse there than the last of
+   the first best cannot be in the result, and does not leave its unit. So units send a number of rows for each query
+   that does not grow with the number of units.
 
 On data without any structure the neighbours of a query are spread over many leaves; then `visits` is large, and the search
 costs a fixed share of comparing all. More rows than the sample make leaves larger, not more.
@@ -41,6 +44,7 @@ SAMPLE_BYTES = 32 << 20
 LEAF = 16
 TRIALS = 256  # vectors of the sample that serve as queries to set `visits`
 RECALL = 0.95
+FIRST = 2 * TREES  # leaves
 UNIT = 4096  # rows
 BLOCK = 1 << 16  # queries of a unit
 BATCH = 256  # queries compared together
@@ -215,8 +219,8 @@ def planned(indexed: DataFrame, forest: Forest, queries: int) -> Units:
     return Units(unit, blocks, sizes, max(1, -(-queries // BLOCK)))
 
 
-_SIDES = "unit long, block int, leaf array<int>, row long, vec_id long, vector array<double>"
-_NAMES = ["unit", "block", "leaf", "row", "vec_id", "vector"]
+_SIDES = "unit long, block int, leaf array<int>, row long, vec_id long, vector array<double>, least double"
+_NAMES = ["unit", "block", "leaf", "row", "vec_id", "vector", "least"]
 
 
 def _candidates(indexed: DataFrame, units: Units) -> DataFrame:
@@ -234,13 +238,14 @@ def _candidates(indexed: DataFrame, units: Units) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(leaf) + 1), pa.int32()), pa.array(leaf))
                 for block in range(plan.query_blocks):
                     columns = [pa.array(unit), pa.array(np.full(len(unit), block, np.int32)), lists]
-                    yield pa.RecordBatch.from_arrays([*columns, *[batch.column(c) for c in _NAMES[3:]]], names=_NAMES)
+                    columns += [*[batch.column(c) for c in _NAMES[3:-1]], pa.nulls(len(unit), pa.float64())]
+                    yield pa.RecordBatch.from_arrays(columns, names=_NAMES)
 
     return indexed.mapInArrow(run, _SIDES)
 
 
-def _searches(queries: DataFrame, forest: Forest, units: Units, wanted: int) -> DataFrame:
-    """Each query once for each unit that holds rows of a leaf it has reached, with these leaves."""
+def _searches(queries: DataFrame, forest: Forest, units: Units, wanted: int, part: slice) -> DataFrame:
+    """Each query once for each unit that holds rows of a leaf it has reached, with these leaves, or a part of them."""
     shared = queries.sparkSession.sparkContext.broadcast((forest, units))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +257,7 @@ def _searches(queries: DataFrame, forest: Forest, units: Units, wanted: int) ->
             owner, unit, lists = [], [], []
             for i, query in enumerate(lifted_queries(_matrix(batch.column("vector")), trees.largest)):
                 met: dict[int, list[int]] = {}
-                for tree, leaf in reached(trees, query, plan.sizes, wanted + 1):
+                for tree, leaf in reached(trees, query, plan.sizes, wanted + 1)[part]:
                     first = int(plan.unit[tree, leaf])
                     for number in range(first, first + int(plan.blocks[tree, leaf])):
                         met.setdefault(number, []).append(leaf)
@@ -268,10 +273,13 @@ def _searches(queries: DataFrame, forest: Forest, units: Units, wanted: int) ->
 
 
 def best_of(
-    queries: np.ndarray, own_rows: np.ndarray, asked: list[list[int]], points: np.ndarray, rows: np.ndarray, ids: np.ndarray,
-    bounds: dict[int, tuple[int, int]], wanted: int,
+    queries: np.ndarray, own_rows: np.ndarray, asked: list[list[int]], above: np.ndarray, points: np.ndarray, rows: np.ndarray,
+    ids: np.ndarray, bounds: dict[int, tuple[int, int]], wanted: int,
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query its place, its best points and their products. Points come by leaf; ids are floats, infinite for null."""
+    """For each query its place, its best points of at least some product, and their products.
+
+    Points come by leaf; ids are floats, infinite for null.
+    """
     scores = np.full((len(queries), len(points)), -np.inf)
     by_leaf: dict[int, list[int]] = {}
     for i, leaves in enumerate(asked):
@@ -286,8 +294,9 @@ def best_of(
     for i, row in enumerate(scores):
         least = np.partition(row, -wanted)[-wanted] if len(row) > wanted else -np.inf
         # Sums of another order may differ in the last digits: all that could belong to the best are summed alike.
-        near = np.flatnonzero((row >= least - 1e-9 * reach[i]) & (row > -np.inf))
+        near = np.flatnonzero((row >= max(least, above[i]) - 1e-9 * reach[i]) & (row > -np.inf))
         exact = (points[near] * queries[i]).sum(axis=1)
+        near, exact = near[exact >= above[i]], exact[exact >= above[i]]
         order = np.lexsort((rows[near], ids[near], -exact))[:wanted]
         yield i, near[order], exact[order]
 
@@ -320,8 +329,8 @@ def _met(sides: DataFrame, wanted: int) -> DataFrame:
                     step = part.slice(at, BATCH)
                     owner, found, products = [], [], []
                     vectors, rows, order, ids, bounds = points
-                    asked = step.column("leaf").to_pylist()
-                    for i, best, exact in best_of(_matrix(step.column("vector")), step.column("row").to_numpy(), asked, vectors, rows, order, bounds, wanted):
+                    asked, own = step.column("leaf").to_pylist(), [step.column(c).to_numpy() for c in ("row", "least")]
+                    for i, best, exact in best_of(_matrix(step.column("vector")), own[0], asked, own[1], vectors, rows, order, bounds, wanted):
                         owner += [i] * len(best)
                         found.append(best)
                         products.append(exact)
@@ -345,11 +354,19 @@ def neighbours(vectors: DataFrame, every: int = 20, wanted: int = 20, vector: st
     indexed = materialize(_indexed(rows, forest), "indexed")
     asked = indexed.filter(F.col("vec_id") % every == 0)
     units = planned(indexed, forest, asked.count())
-    sides = _candidates(indexed, units).withColumn("query", F.lit(False))
-    sides = sides.unionByName(_searches(asked.select("row", "vec_id", "vector"), forest, units, wanted).withColumn("query", F.lit(True)))
-    sides = sides.repartition("unit", "block").sortWithinPartitions("unit", "block", "query", "leaf")
     # A row may be found in several trees, with the same score.
-    found = materialize(_met(sides, wanted), "found").dropDuplicates(["query", "row"])
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "row")
-    found = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= wanted)
-    return found.select("query_id", "rank", "vec_id", "score")
+
+    def found(queries: DataFrame, part: slice) -> DataFrame:
+        queries = _searches(queries.select("row", "vec_id", "vector", "least"), forest, units, wanted, part)
+        sides = _candidates(indexed, units).withColumn("query", F.lit(False)).unionByName(queries.withColumn("query", F.lit(True)))
+        sides = sides.repartition("unit", "block").sortWithinPartitions("unit", "block", "query", "leaf")
+        return materialize(_met(sides, wanted), "found")
+
+    first = found(asked.withColumn("least", F.lit(float("-inf"))), slice(FIRST))
+    ranked = first.dropDuplicates(["query", "row"]).withColumn("rank", F.row_number().over(order))
+    bounds = ranked.filter(F.col("rank") == wanted).select(F.col("query").alias("row"), F.col("score").alias("least"))
+    asked = asked.join(bounds, "row", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
+    best = first.unionByName(found(asked, slice(FIRST, None))).dropDuplicates(["query", "row"])
+    best = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= wanted)
+    return best.select("query_id", "rank", "vec_id", "score")
