@@ -18,6 +18,7 @@ Defined results: a null or empty text has only its end id. Repeated rows are pie
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -35,6 +36,8 @@ GROUPS = 64
 LARGE = 4  # lengths from a 4th of the capacity on are large
 # Fixed value: how byte-level vocabularies of this family split a text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# White space as that pattern knows it, in a run that is too long for its backtracking.
+BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 _ENCODERS: dict[str, tiktoken.Encoding] = {}
 
 
@@ -42,7 +45,7 @@ def encoder(path: str) -> tiktoken.Encoding:
     """The tokenizer of a `tokenizers` file of the byte-level merging kind.
 
     Ids and splitting are the file's, as a test over all characters shows; the other library's loop over the merges is
-    five times as fast. Special strings inside a text become their ids, which is the default of `tokenizers`.
+    five times as fast. For long runs of white space see `ids_of`. Special strings inside a text become their ids, which is the default of `tokenizers`.
     """
     if path not in _ENCODERS:
         with open(path, encoding="utf-8") as file:
@@ -62,15 +65,32 @@ def encoder(path: str) -> tiktoken.Encoding:
     return _ENCODERS[path]
 
 
+def ids_of(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
+    """Token ids of a text. Long runs of white space are cut out where the pattern cuts them.
+
+    A run is one unit, whose last character goes with the word that follows; nothing before a run extends into it. At the
+    end of the text, and before a special string, it is one unit as a whole.
+    """
+    out, start, special = [], 0, tuple(encoding.special_tokens_set)
+    for run in BLANKS.finditer(text):
+        whole = run.end() == len(text) or text.startswith(special, run.end())
+        end = run.end() if whole else run.end() - 1
+        out.append(encoding.encode_to_numpy(text[start : run.start()], allowed_special="all"))
+        out.append(np.array(encoding._encode_single_piece(text[run.start() : end]), np.uint32))
+        start = end
+    out.append(encoding.encode_to_numpy(text[start:], allowed_special="all"))
+    return np.concatenate(out)
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -> DataFrame:
     """doc_id, piece, start, length and ids of every piece. Only the first piece of a cut document may be shorter."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer).encode_to_numpy, np.array([end_id], "<u4").tobytes()
+        encoding, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for step in steps(batches):
             rows = [[], [], [], [], []]
             for doc, text in zip(step.column("doc_id").to_pylist(), step.column("text").to_pylist(), strict=True):
-                ids = encode(text, allowed_special="all").astype("<u4").tobytes() + end
+                ids = ids_of(encoding, text).astype("<u4").tobytes() + end
                 n = len(ids) // 4
                 stops = [*range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [n]
                 start = 0
@@ -251,14 +271,19 @@ def numbered(items: DataFrame) -> DataFrame:
     counts = items.groupBy("length", "part").count()
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("before", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
-    within = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "start")
+    within = Window.partitionBy("length", "part").orderBy("row.doc_id", "row.piece", "row.start")
     placed = items.withColumn("within", F.row_number().over(within) - 1).join(counts, ["length", "part"])
-    return placed.withColumn("number", F.col("before") + F.col("within")).drop("before", "within", "part")
+    return placed.select("row", "length", (F.col("before") + F.col("within")).alias("number"))
 
 
 def pack(items: DataFrame, capacity: int, groups: int = GROUPS) -> DataFrame:
-    """Add sequence_id and offset to pieces, given by doc_id, piece, start and length; other columns are kept."""
-    stored = materialize(items.withColumn("part", F.spark_partition_id()), "pieces")
+    """Add sequence_id and offset to pieces, given by doc_id, piece, start and length.
+
+    Other columns are kept, whatever their names; new columns replace those of the same name.
+    """
+    names = [c for c in items.columns if c not in ("sequence_id", "offset")]
+    row = F.struct(*[items[c] for c in names]).alias("row")
+    stored = materialize(items.select(row, items["length"].alias("length"), F.spark_partition_id().alias("part")), "pieces")
     counts = np.zeros(capacity + 1, np.int64)
     for length, many in stored.groupBy("length").count().collect():  # at most `capacity` rows
         counts[length] = many
@@ -281,5 +306,5 @@ def pack(items: DataFrame, capacity: int, groups: int = GROUPS) -> DataFrame:
             offset[rows] = offsets[at] + past % items_each[at] * length
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
-    placed = numbered(stored).withColumn("place", place("length", "number"))
-    return placed.select("*", "place.sequence_id", "place.offset").drop("place", "number")
+    placed = numbered(stored).select("row", place("length", "number").alias("place"))
+    return placed.select(*[F.col("row")[c].alias(c) for c in names], "place.sequence_id", "place.offset")

@@ -235,3 +235,40 @@ def test_plan_is_close_to_the_bound(seed):
     # Few pieces of many lengths: rounding costs little more than the best that is known.
     plain = packing.best_fit([], counts.copy(), 512)
     assert sum(run.count for run in runs) <= 1.02 * sum(run.count for run in plain) + 1
+
+
+BLANKS = [" ", "\n", "\t", "\r\n", " \n", "\u3000", "\xa0 ", "\x85\u2028"]
+
+
+def test_ids_of_all_characters():
+    """Each character beside letters, digits, signs, blanks and itself."""
+    library, own = Tokenizer.from_file(BYTES), packing.encoder(BYTES)
+    codes = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for start in range(0, len(codes), 500):
+        text = "".join(f"a{c}{c} {c}1{c}.  {c}" for c in map(chr, codes[start : start + 500]))
+        assert packing.ids_of(own, text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("blank", BLANKS)
+def test_ids_of_long_blanks(blank):
+    library, own = Tokenizer.from_file(BYTES), packing.encoder(BYTES)
+    run = (blank * 30_000)[:30_000]
+    for text in (run, f"a{run}b", f"{run}1", f"!{run}", f"{run[:9_999]}x{run[:10_001]}'s", f"x{run}<|endoftext|>{run}y", f"\x1c{run}\x1f"):
+        assert packing.ids_of(own, text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_of_two_million_blanks(docs_of):
+    texts = [" " * 2_000_000, "\n" * 2_000_000, " \n\t" * 700_000 + "end"]
+    rows = packing.pieces(docs_of(list(enumerate(texts))), BYTES, 2048).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    library = Tokenizer.from_file(BYTES)
+    assert {r["doc_id"]: r["n"] for r in rows} == {i: len(library.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+
+
+def test_packing_keeps_columns_of_its_own_names(spark):
+    names = ("part", "place", "number", "within", "before", "row", "count", "sequence_id", "offset")
+    schema = "doc_id long, piece int, start long, length long, " + ", ".join(f"{n} string" for n in names)
+    table = spark.createDataFrame([(i, 0, 0, 1 + i % 7, *names) for i in range(50)], schema)
+    rows = packing.pack(table, 16).collect()
+    assert len(rows) == 50 and all(r[n] == n for r in rows for n in names[:-2])
+    assert sorted((r["doc_id"], r["length"]) for r in rows) == [(i, 1 + i % 7) for i in range(50)]
+    assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 50
