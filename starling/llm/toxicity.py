@@ -30,6 +30,7 @@ STEMS = (4, 6)  # bytes
 PER_CLASS = 1500
 MAX_CHARS = 20_000
 FEATURES = 1 + len(STEMS)
+CHUNK = 1 << 18  # buckets that the fit handles together
 START = -6.0
 _STOP = np.zeros(256, bool)
 _STOP[[0x0A, 0x21, 0x2E, 0x3F]] = True  # line end ! . ?
@@ -76,41 +77,73 @@ def noisy_or(scores: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
     return -np.expm1(np.bincount(doc, np.log1p(-np.minimum(scores, 1 - 1e-12)), docs))
 
 
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of each sentence and buckets of each word, as bytes of 32-bit numbers: all that leaves a task."""
+    for step in steps(batches):
+        found = sentences_of([t.encode() for t in step.column("text").to_pylist()])
+        first = np.searchsorted(found.doc, np.arange(step.num_rows + 1))
+        sizes = np.diff(found.bounds).astype(np.uint32)
+        words, buckets = found.words.bounds, found.buckets.astype(np.uint32)
+        lists = [
+            [sizes[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)],
+            [buckets[FEATURES * a : FEATURES * b].tobytes() for a, b in zip(words[:-1], words[1:], strict=True)],
+        ]
+        columns = [step.column(c) for c in ("doc_id", "label", "weight")] + [pa.array(x, pa.binary()) for x in lists]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "weight", "sizes", "buckets"])
+
+
 def fit(sample: DataFrame, rounds: int = 200, rate: float = 0.3, sparsity: float = 1e-4, least: float = 0.005) -> Model:
-    """The model from text, label and weight of a bounded sample, by gradient steps on the documents' likelihood.
+    """The model from doc_id, text, label and weight of a bounded sample, by gradient steps on the documents' likelihood.
 
-    Buckets found in less than `least` of the documents stay at 0, and `sparsity` draws the others there.
+    Buckets found in less than `least` of the documents stay at 0, and `sparsity` draws the others there. Texts do not
+    come to the driver, only the buckets of their words.
     """
-    rows = sample.orderBy("doc_id", "text", "label").toPandas()
-    weights, bias = np.zeros(1 << BITS), START
+    bias, weights = START, np.zeros(1 << BITS, np.float32)
+    rows = sample.mapInArrow(_features, "doc_id long, label int, weight double, sizes binary, buckets binary").toPandas()
     if not len(rows):
-        return Model(weights.astype(np.float32), bias)
-    found = sentences_of([t.encode() for t in rows["text"]])
-    label = rows["label"].to_numpy(float)
-    weight = rows["weight"].to_numpy(float) / rows["weight"].sum()
-    pairs = np.unique((np.repeat(found.words.doc, FEATURES) << BITS) + found.buckets)
-    used = np.flatnonzero(np.bincount(pairs & ((1 << BITS) - 1), minlength=1 << BITS) >= least * len(rows))
-    place = np.full(1 << BITS, len(used))
-    place[used] = np.arange(len(used))
-    # One more bucket for all that do not learn.
-    local = found._replace(buckets=place[found.buckets])
-    sizes = FEATURES * np.diff(found.bounds)
+        return Model(weights, bias)
+    rows = rows.sort_values(["doc_id", "label", "buckets"])
+    label, weight = rows["label"].to_numpy(float), rows["weight"].to_numpy(float) / rows["weight"].sum()
+    docs, many = np.zeros(1 << BITS, np.int32), len(rows)
+    for own in rows["buckets"]:
+        docs[np.unique(np.frombuffer(own, np.uint32))] += 1
+    used = np.flatnonzero(docs >= least * many)
+    place = np.zeros(1 << BITS, np.int32)
+    place[used] = np.arange(1, len(used) + 1)
+    # Of each sentence the buckets that learn, after one at place 0 that does not, so that none is empty.
+    doc, buckets, bounds, last = [], [], [np.zeros(1, np.int64)], 0
+    for i, (sizes, own) in enumerate(zip(rows["sizes"], rows["buckets"], strict=True)):
+        sizes, own = np.frombuffer(sizes, np.uint32), place[np.frombuffer(own, np.uint32)]
+        sentence = np.repeat(np.arange(len(sizes)), FEATURES * sizes)[own > 0]
+        ends = np.cumsum(np.bincount(sentence, minlength=len(sizes)))
+        buckets.append(np.insert(own[own > 0], np.append(0, ends[:-1]), 0) if len(sizes) else own)
+        bounds.append(last + ends + np.arange(1, len(sizes) + 1))
+        last += len(buckets[-1])
+        doc.append(np.full(len(sizes), i))
+    del rows
+    doc, buckets, bounds = np.concatenate(doc), np.concatenate(buckets), np.concatenate(bounds)
+    cuts = np.unique(np.append(np.searchsorted(bounds[:-1], np.arange(0, len(buckets), CHUNK)), len(doc)))
+    chunks = [(a, b, bounds[a], bounds[b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     learned, seen, seen_bias = np.zeros(len(used) + 1), np.full(len(used) + 1, 1e-5), 1e-10
     for _ in range(rounds):
-        scores = sentence_scores(Model(learned, bias), local)
-        chance = np.clip(noisy_or(scores, found.doc, len(rows)), 1e-9, 1)
+        margins = [np.add.reduceat(learned[buckets[c:d]], bounds[a:b] - c) for a, b, c, d in chunks]
+        margins = np.concatenate(margins) if margins else np.empty(0)
+        scores = 1 / (1 + np.exp(-np.clip(margins + bias, -30, 30)))
+        chance = np.clip(noisy_or(scores, doc, many), 1e-9, 1)
         # Of the log-likelihood by a sentence's margin: -s for clean documents, s (1 - p) / p for toxic ones.
         share = weight * np.where(label == 1, -(1 - chance) / chance, 1.0)
-        slope = share[found.doc] * scores
-        slopes = np.bincount(local.buckets, np.repeat(slope, sizes), len(used) + 1)
+        slope = share[doc] * scores
+        slopes = np.zeros(len(used) + 1)
+        for a, b, c, d in chunks:
+            slopes += np.bincount(buckets[c:d], np.repeat(slope[a:b], np.diff(bounds[a : b + 1])), len(slopes))
+        slopes[0] = 0
         seen, seen_bias = seen + slopes**2, seen_bias + slope.sum() ** 2
         step = rate / np.sqrt(seen)
         learned = learned - step * slopes
         learned = np.sign(learned) * np.maximum(np.abs(learned) - step * sparsity, 0)
-        learned[-1] = 0
         bias -= rate * slope.sum() / np.sqrt(seen_bias)
-    weights[used] = learned[:-1]
-    return Model(weights.astype(np.float32), float(bias))
+    weights[used] = learned[1:]
+    return Model(weights, float(bias))
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, folds: int, held_out: int) -> DataFrame:
