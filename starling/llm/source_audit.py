@@ -21,7 +21,6 @@ gives pairs of value 0 and no terms; a language of one source gives no pairs; an
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,21 +34,52 @@ from starling.session import materialize
 
 LEAST_DOCS = 10
 TOP_TERMS = 10
-HELD = 400_000  # counts or postings that a task holds
-PART = 1 << 20  # bytes of a text that are split into words together
+HELD = 500_000  # counts or postings that a task holds
 SALTS = 32
-# Bytes that are no ASCII letter and below 0x80 separate terms; A-Z become a-z.
-_TERMS = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
-
-
-def parts_of(text: bytes) -> Iterator[list[bytes]]:
-    """The terms of a text, in parts of bounded size."""
-    flat, start = text.translate(_TERMS), 0
-    while start < len(flat):
-        end = flat.find(b" ", start + PART)
-        end = len(flat) if end < 0 else end
-        yield flat[start:end].split()
-        start = end
+_COUNTS = ["lang", "source", "term", "n", "docs"]
+# Bytes that are no ASCII letter and below 0x80 become blanks; A-Z become a-z.
+_TERMS = np.full(256, 0x20, np.uint8)
+_TERMS[0x80:] = np.arange(0x80, 256)
+_TERMS[0x61:0x7B] = _TERMS[0x41:0x5B] = np.arange(0x61, 0x7B)
+
+
+def terms_of(texts: pa.StringArray) -> pa.ListArray:
+    """The terms of each text, with an empty one where it begins or ends between terms."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    flat = _TERMS[np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]] if data is not None else np.empty(0, np.uint8)
+    buffers = [None, pa.py_buffer(offsets - offsets[0]), pa.py_buffer(flat)]
+    return pc.ascii_split_whitespace(pa.Array.from_buffers(pa.string(), len(texts), buffers))
+
+
+def _counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and how often each occurs."""
+    keys = np.sort(keys)
+    new = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[new], np.diff(np.append(new, len(keys)))
+
+
+def counted(step: pa.RecordBatch) -> pa.Table:
+    """lang, source, term, n and docs of some texts."""
+    lists = terms_of(step.column("text"))
+    doc = np.repeat(np.arange(step.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    terms = lists.flatten().dictionary_encode()
+    lang, source = (step.column(c).dictionary_encode() for c in ("lang", "source"))
+    group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
+    many = len(terms.dictionary)
+    code = terms.indices.to_numpy().astype(np.int64)
+    keys, n = _counts(group[doc] * many + code)
+    pairs, _ = _counts(doc * many + code)
+    _, docs = _counts(group[pairs // max(1, many)] * many + pairs % max(1, many))
+    own, code = keys // max(1, many), keys % max(1, many)
+    columns = [
+        lang.dictionary.take(pa.array(own // len(source.dictionary))),
+        source.dictionary.take(pa.array(own % len(source.dictionary))),
+        terms.dictionary.take(pa.array(code)),
+        pa.array(n, pa.int64()),
+        pa.array(docs, pa.int64()),
+    ]
+    return pa.table(columns, names=_COUNTS).filter(pc.not_equal(pc.field("term"), ""))
 
 
 def named(docs: DataFrame) -> DataFrame:
@@ -60,39 +90,39 @@ def named(docs: DataFrame) -> DataFrame:
 def term_counts(texts: DataFrame) -> DataFrame:
     """lang, source, term, n (occurrences) and docs (texts with the term). Tasks count before rows are shuffled."""
 
-    def flush(held: dict[tuple[bytes, bytes], tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
-        for (lang, source), (occurrences, docs) in held.items():
-            if occurrences:
-                many = len(occurrences)
-                columns = [
-                    pa.array([lang] * many, pa.binary()),
-                    pa.array([source] * many, pa.binary()),
-                    pa.array(list(occurrences), pa.binary()),
-                    pa.array(list(occurrences.values()), pa.int64()),
-                    pa.array([docs[t] for t in occurrences], pa.int64()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
+    def merged(held: list[pa.Table]) -> pa.Table:
+        found = pa.concat_tables(held).group_by(_COUNTS[:3]).aggregate([("n", "sum"), ("docs", "sum")])
+        return found.rename_columns({"n_sum": "n", "docs_sum": "docs"}).select(_COUNTS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[bytes, bytes], tuple[Counter, Counter]] = {}
+        held: list[pa.Table] = []
+        size = 0
         for step in steps(batches):
-            for lang, source, text in zip(*[step.column(c).to_pylist() for c in ("lang", "source", "text")], strict=True):
-                occurrences, docs = held.setdefault((lang, source), (Counter(), Counter()))
-                seen: set[bytes] = set()
-                for words in parts_of(text):
-                    occurrences.update(words)
-                    seen.update(words)
-                docs.update(seen)
-            if sum(len(c) for c, _ in held.values()) > HELD:
-                yield from flush(held)
-                held = {}
-        yield from flush(held)
-
-    # As bytes, so that Python neither decodes texts nor encodes terms.
-    raw = texts.select(*[F.col(c).cast("binary").alias(c) for c in ("lang", "source", "text")])
-    found = raw.mapInArrow(count, "lang binary, source binary, term binary, n long, docs long")
-    keys = [F.col(c).cast("string").alias(c) for c in ("lang", "source", "term")]
-    return found.select(*keys, "n", "docs").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+            held.append(counted(step))
+            size += held[-1].num_rows
+            if size > 2 * HELD:
+                held = [merged(held)]
+                size = held[0].num_rows
+                if size > HELD:
+                    yield from held[0].combine_chunks().to_batches()
+                    held, size = [], 0
+        if held:
+            yield from merged(held).combine_chunks().to_batches()
+
+    return texts.mapInArrow(count, "lang string, source string, term string, n long, docs long")
+
+
+def kept_postings(texts: DataFrame, least_docs: int) -> DataFrame:
+    """lang, term, source and n of the kept terms, and total: the term's occurrences in the language.
+
+    Tasks send one row for each group, term and HELD counts, so that also the commonest term meets in one task as few rows;
+    one shuffle brings together its sources, and which of them keep it. Most terms are rare, and go no further.
+    """
+    found = term_counts(texts).repartition("lang", "term")
+    found = found.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    own = Window.partitionBy("lang", "term")
+    found = found.withColumn("total", F.sum("n").over(own)).withColumn("docs", F.sum("docs").over(own))
+    return found.filter(F.col("docs") >= least_docs).drop("docs")
 
 
 def share(count: Column, whole: Column) -> Column:
@@ -195,11 +225,9 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP_TERMS) -
     language does, up to rank `top`. Terms count if at least `least_docs` texts of the language have them.
     """
     texts = named(docs)
-    counts = materialize(term_counts(texts), "counts")
-    terms = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"))
-    terms = materialize(terms.filter(F.col("docs") >= least_docs).drop("docs"), "terms")
+    postings = materialize(kept_postings(texts, least_docs), "postings")
+    terms = postings.groupBy("lang", "term").agg(F.max("total").alias("total"))
     langs = terms.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("total").alias("words"))
-    postings = counts.drop("docs").join(terms, ["lang", "term"]).filter("n > 0")
     own = postings.groupBy("lang", "source").agg(F.sum("n").alias("own"))
     groups = texts.select("lang", "source").distinct().join(langs, "lang", "left").join(own, ["lang", "source"], "left")
     groups = groups.select("lang", "source", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("kept", "words", "own")])

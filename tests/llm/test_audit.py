@@ -71,7 +71,6 @@ def test_equals_brute_force(spark, mixed, monkeypatch):
     assert rows_of(source_audit.audit(table)) == want
     # Texts, counts and posting lists in many parts.
     monkeypatch.setattr(source_audit, "HELD", 5)
-    monkeypatch.setattr(source_audit, "PART", 64)
     assert rows_of(source_audit.audit(table)) == want
     assert rows_of(source_audit.audit(table, least_docs=3, top=2)) == brute(mixed, 3, 2)
 
