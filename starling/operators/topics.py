@@ -58,7 +58,11 @@ def word_weights(posts: DataFrame, stop: Sequence[str], keys: Sequence[str] = ()
     the document frequency. Both go through one aggregate that combines in the task: what is shuffled is the
     vocabulary of a task, not its words.
     """
-    valued = with_impact(posts, stop)
+    return weights_of(with_impact(posts, stop), stop, keys)
+
+
+def weights_of(valued: DataFrame, stop: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """The same from posts that have their words and impact."""
     share = scores.impact_weight(F.col("impact")) / F.nullif(F.size("words"), F.lit(0))
     shared = valued.withColumn("_share", share)
     none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
@@ -77,17 +81,17 @@ def topic_scores(posts: DataFrame, stop: Sequence[str]) -> DataFrame:
     N counts all given posts, also those without a word.
     """
     total = posts.select(F.count("*")).scalar()
-    return _scored(word_weights(posts, stop).withColumn("n", total), ())
+    return scored(word_weights(posts, stop).withColumn("n", total), ())
 
 
 def request_topic_scores(hits: DataFrame, stop: Sequence[str]) -> DataFrame:
     """The same per request. N is one row per request."""
     sizes = corpus_size(hits)
     weights = word_weights(hits, stop, ["request_id"])
-    return _scored(weights.join(sizes, "request_id"), ["request_id"])
+    return scored(weights.join(sizes, "request_id"), ["request_id"])
 
 
-def _scored(weights: DataFrame, keys: Sequence[str]) -> DataFrame:
+def scored(weights: DataFrame, keys: Sequence[str]) -> DataFrame:
     score = F.col("weight") * scores.inverse_frequency(F.col("n"), F.col("df"))
     return weights.select(*keys, "word", "df", "n", score.alias("score"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from starling.functions.text import censor, format_post
+from starling.operators import summaries
 from starling.operators import topics as ops
 from starling.operators.dedup import first_rows, newest_first
 from starling.operators.ranges import range_join
@@ -67,6 +68,22 @@ def topics(
     # A few rows per request, read again to select the posts.
     words = materialize(top_words(requests, found, stop), "words")
     best = top_posts(requests, found, words, stop)
+    return _shown(words, best, banned)
+
+
+def topics_of(
+    requests: DataFrame, stored: summaries.Summaries, posts: DataFrame, stop: Sequence[str], banned: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The same from stored sums and index of the posts, unique by tid: of posts, only the texts of the ranked ones are read."""
+    words, posts_most = _limits(requests)
+    scored = summaries.request_scores(requests, stored, stop)
+    words = materialize(_top(scored, "word", ops.rank_words(), requests, "n1", words), "words")
+    matching = summaries.posts_with_words(words, requests, stored)
+    best = _top(matching, "tid", ops.rank_posts(), requests, "n2", posts_most)
+    return _shown(words, best.join(posts.select("tid", "content"), "tid"), banned)
+
+
+def _shown(words: DataFrame, best: DataFrame, banned: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     # A word is always followed by its score in the report, so it never ends the text.
     masked = censor(F.col("word"), banned, mask_last=True)
     text = censor(F.col("content"), banned)
@@ -79,10 +96,14 @@ def topics(
 
 
 def report(
-    requests: DataFrame, posts: DataFrame, stop: Sequence[str], banned: Sequence[str]
+    requests: DataFrame,
+    posts: DataFrame,
+    stop: Sequence[str],
+    banned: Sequence[str],
+    stored: summaries.Summaries | None = None,
 ) -> DataFrame:
-    """Both lists in one table: kind is `word` or `post`, value the score or the impact."""
-    words, best = topics(requests, posts, stop, banned)
+    """Both lists in one table: kind is `word` or `post`, value the score or the impact. From stored sums, if given."""
+    words, best = topics_of(requests, stored, posts, stop, banned) if stored else topics(requests, posts, stop, banned)
     impact = F.col("impact").cast("double").alias("value")
     return words.select(
         "request_id", F.lit("word").alias("kind"), "rank", "text", F.col("score").alias("value")

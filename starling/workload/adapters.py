@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 
 from starling.functions import ledger as fn
 from starling.operators.dedup import dedup_posts
+from starling.operators.summaries import Summaries, summarize
 from starling.plans import ingest
 from starling.session import materialize, small_table
 from starling.sources.files import term_list
@@ -130,6 +131,10 @@ class Tables:
             "lang",
         )
 
+    @cached_property
+    def topic_summaries(self) -> Summaries:
+        return summarize(self.topic_posts, self.stop)
+
     @cached_property
     def raw(self) -> DataFrame:
         """Posts as nested raw posts, with the gaps and faults raw data has."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starling.functions import scores, text
-from starling.operators import hashtags, ranges
+from starling.operators import hashtags, ranges, summaries
 from starling.operators import topics as ops
 from starling.plans import topics as plan
 from starling.workload.registry import query
@@ -19,7 +19,17 @@ query("agg_doc_length", "SELECT tid, len(ws) AS doc_len FROM word_lists")(
 )
 query("agg_doc_freq", "SELECT word, df FROM freqs")(lambda t: ops.doc_freq(t.topic_posts))
 query("agg_corpus_size", "SELECT request_id, count(*) AS n FROM found GROUP BY 1")(
-    lambda t: ops.corpus_size(ranges.range_join(t.topic_requests, t.topic_posts))
+    lambda t: ops.corpus_size(ranges.range_join(t.topic_requests, t.topic_posts.drop("content")))
+)
+query("agg_corpus_size_stored", "SELECT request_id, count(*) AS n FROM found GROUP BY 1")(
+    lambda t: summaries.request_sizes(t.topic_requests, t.topic_summaries)
+)
+query(
+    "agg_request_word_sums",
+    f"""SELECT f.request_id, t.word, count(*) AS df, round(sum(CAST(t.cnt AS DOUBLE) / t.doc_len * ln(f.impact + 1)), 6) AS weight
+  FROM found f JOIN terms t ON t.tid = f.tid WHERE NOT list_contains({STOP}, t.word) GROUP BY 1, 2""",
+)(
+    lambda t: summaries.request_words(t.topic_requests, t.topic_summaries, t.stop).withColumn("weight", F.round("weight", 6))
 )
 query("agg_effective_words", "SELECT tid, effective FROM impacts")(
     lambda t: t.topic_posts.select("tid", text.effective_words(F.col("content"), t.stop).cast("bigint").alias("effective"))
@@ -70,13 +80,21 @@ def _topics(t):
     return plan.topics(t.topic_requests, t.topic_posts, t.stop, t.banned)
 
 
-query("topk_words", _WORDS)(lambda t: _topics(t)[0].withColumn("score", F.round("score", 6)))
-query("topk_posts", _POSTS)(lambda t: _topics(t)[1])
-query(
-    "q_topics",
-    f"""SELECT request_id, 'word' AS kind, rank, text, score AS value FROM ({_WORDS}) AS w
-  UNION ALL SELECT request_id, 'post', rank, line, CAST(impact AS DOUBLE) FROM ({_POSTS}) AS p""",
-)(
+def _topics_stored(t):
+    return plan.topics_of(t.topic_requests, t.topic_summaries, t.topic_posts, t.stop, t.banned)
+
+
+query("topk_words", _WORDS)(lambda t: _topics_stored(t)[0].withColumn("score", F.round("score", 6)))
+query("topk_posts", _POSTS)(lambda t: _topics_stored(t)[1])
+_REPORT = f"""SELECT request_id, 'word' AS kind, rank, text, score AS value FROM ({_WORDS}) AS w
+  UNION ALL SELECT request_id, 'post', rank, line, CAST(impact AS DOUBLE) FROM ({_POSTS}) AS p"""
+query("q_topics", _REPORT)(
+    lambda t: plan.report(t.topic_requests, t.topic_posts, t.stop, t.banned, t.topic_summaries).withColumn(
+        "value", F.round("value", 6)
+    )
+)
+# The same without anything stored, for requests that are asked once.
+query("q_topics_at_once", _REPORT)(
     lambda t: plan.report(t.topic_requests, t.topic_posts, t.stop, t.banned).withColumn("value", F.round("value", 6))
 )
 query(
