@@ -7,7 +7,7 @@ import zlib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType
+from pyspark.sql.types import StringType
 
 # Fixed values of the ledger rules.
 FIRST_REWARD = 500_000_000
@@ -63,17 +63,33 @@ def inflate(payload: Column) -> Column:
     return _inflate(F.try_to_binary(padded, F.lit("base64")))
 
 
-@F.pandas_udf(BooleanType())
-def _signed(sig: pd.Series, send: pd.Series, tx_hash_text: pd.Series, modulus: pd.Series) -> pd.Series:
-    def one(s, e, h, n):
-        try:
-            return pow(int(s), int(e), int(n)) == int(h, 16)
-        except (TypeError, ValueError):
-            return False
+def power_mod(base: Column, exponent: Column, modulus: int = SIGNATURE_MODULUS) -> Column:
+    """base to the power of a whole number from 0 on, modulo the modulus (below 2**63); null for a negative exponent.
+
+    Squares and multiplies along the bits of the exponent, in decimals of 38 digits, which hold the product of two
+    remainders.
+    """
+    kind = "decimal(38,0)"
+    whole = F.lit(modulus).cast(kind)
+
+    def reduced(product: Column) -> Column:
+        return (product % whole).cast(kind)
 
-    return pd.Series([one(*row) for row in zip(sig, send, tx_hash_text, modulus, strict=True)])
+    start = F.pmod(base.cast("bigint"), F.lit(modulus)).cast(kind)
+
+    def step(power: Column, bit: Column) -> Column:
+        square = reduced(power * power)
+        return F.when(bit == "1", reduced(square * start)).otherwise(square)
+
+    bits = F.split(F.bin(exponent.cast("bigint")), "")
+    return F.when(exponent >= 0, F.aggregate(bits, reduced(F.lit(1).cast(kind)), step).cast("bigint"))
 
 
 def signature_holds(sig: Column, send: Column, tx_hash_text: Column, modulus: int = SIGNATURE_MODULUS) -> Column:
-    """Whether sig to the power of send, modulo the modulus, is the hash as a hexadecimal number; no for no sender."""
-    return _signed(sig, send, tx_hash_text, F.lit(modulus))
+    """Whether sig to the power of send, modulo the modulus, is the hash as a hexadecimal number; no for no sender.
+
+    A negative sender signs nothing.
+    """
+    due = F.lower(F.regexp_replace(tx_hash_text, "^0+(?=.)", ""))
+    made = F.lower(F.hex(power_mod(sig, send, modulus)))
+    return F.coalesce(made == due, F.lit(False))

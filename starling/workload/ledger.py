@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from starling.functions import ledger as fn
 from starling.operators import ledger as ops
 from starling.plans.ledger import ledger_report
 from starling.session import materialize
@@ -48,6 +49,27 @@ _audit("tx_hash", lambda t: ops.bad_tx_hashes(t.ledger_txs))
 _audit("block_hash", lambda t: ops.bad_block_hashes(t.ledger_blocks))
 _audit("target", lambda t: ops.bad_targets(t.ledger_blocks))
 _audit("signature", lambda t: ops.bad_signatures(t.ledger_txs))
+# With this exponent of 41 bits a number is its own signature: it is one more than four times the order of the group. The
+# other exponents, beside it, sign falsely.
+_IDENTITY = 1561903844033
+_KEYED = f"""SELECT event_id, {_IDENTITY} + CASE WHEN event_id % 3 = 0 THEN 2 * (user_id + 1) ELSE 0 END AS send,
+  (event_id * 7919 + user_id) % 1561906343821 AS sig FROM events"""
+query(
+    "ledger_signature_keys",
+    f"""SELECT event_id, sig, power FROM (SELECT event_id, sig, CAST(list_reduce(list_transform(
+    list_concat([-1], string_split(bin(send), '')::INTEGER[]), lambda b: CAST(b AS HUGEINT)),
+    lambda p, b: CASE WHEN p < 0 THEN sig ELSE (p * p) % 1561906343821 * (CASE b WHEN 1 THEN sig ELSE 1 END) % 1561906343821 END)
+    AS BIGINT) AS power FROM ({_KEYED}) AS k) AS x WHERE power <> sig""",
+)(
+    lambda t: t.read("events")
+    .select(
+        "event_id",
+        (F.lit(_IDENTITY) + F.when(F.col("event_id") % 3 == 0, 2 * (F.col("user_id") + 1)).otherwise(0)).alias("send"),
+        ((F.col("event_id") * 7919 + F.col("user_id")) % fn.SIGNATURE_MODULUS).alias("sig"),
+    )
+    .where(~fn.signature_holds(F.col("sig"), F.col("send"), F.lower(F.hex("sig"))))
+    .select("event_id", "sig", fn.power_mod(F.col("sig"), F.col("send")).alias("power"))
+)
 _VERDICT = """SELECT chain_id, chain_id NOT IN (SELECT chain_id FROM invalid) AS valid
   FROM (SELECT DISTINCT chain_id FROM ledger_txs) AS c"""
 

@@ -7,6 +7,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from starling.functions import ledger as fn
 from starling.operators import ledger as ops
 from starling.plans.ledger import ledger_report
 from starling.sources.payloads import decode_payload
@@ -194,3 +195,37 @@ def test_segments_give_the_rows_of_one_pass(spark, rows, monkeypatch, segment):
     assert rows(ops.bad_times(frame), "pos", "idx") == sorted(late, key=repr)
     assert rows(ops.bad_balances(frame), "pos", "idx") == sorted(over, key=repr)
     assert rows(ops.bad_rewards(blocks, frame), "pos") == sorted(wrong, key=repr)
+
+
+def test_powers_equal_those_of_whole_numbers(spark):
+    rand = random.Random(9)
+    rows = [(0, 0), (5, 0), (0, 5), (7, 1), (1, (1 << 62) + 3), (-3, 7), ((1 << 62) + 1, (1 << 41) - 1), (2, -1), (None, 3), (3, None)]
+    rows += [(rand.randrange(1 << 62), rand.randrange(1 << rand.randrange(1, 62))) for _ in range(300)]
+    table = spark.createDataFrame(rows, "base long, exponent long")
+    for modulus in (fn.SIGNATURE_MODULUS, MODULUS, 1, 2, (1 << 62) + 57):
+        found = table.select("base", "exponent", fn.power_mod(F.col("base"), F.col("exponent"), modulus).alias("power"))
+        for row in found.collect():
+            known = row.base is not None and row.exponent is not None and row.exponent >= 0
+            assert row.power == (pow(row.base, row.exponent, modulus) if known else None), row
+
+
+def test_signatures_of_real_keys(spark):
+    rows = []
+    for i, text in enumerate(["00000000", "0000abcd", "deadbeef", "ffffffff", "12"]):
+        number = int(text, 16) % MODULUS
+        if number == int(text, 16):
+            rows.append((i, text, pow(number, PRIVATE, MODULUS)))
+    table = spark.createDataFrame([(i, t, s, PUBLIC) for i, t, s in rows], "i int, hash string, sig long, send long")
+    holds = fn.signature_holds(F.col("sig"), F.col("send"), F.col("hash"), MODULUS)
+    assert [r[0] for r in table.select(holds).collect()] == [True] * len(rows)
+    forged = table.select(fn.signature_holds(F.col("sig") + 1, F.col("send"), F.col("hash"), MODULUS))
+    assert not any(r[0] for r in forged.collect())
+    odd = [("xyz", 1, 1), ("", 1, 1), (None, 1, 1), ("1", None, 1), ("1", 1, None)]
+    odd = spark.createDataFrame(odd, "hash string, sig long, send long")
+    assert not any(r[0] for r in odd.select(fn.signature_holds(F.col("sig"), F.col("send"), F.col("hash"))).collect())
+
+
+def test_signatures_are_checked_without_python(spark):
+    txs = spark.createDataFrame([(1, 0, 0, "ab", 3, 2)], "chain_id long, pos long, idx long, hash string, sig long, send long")
+    plan = ops.bad_signatures(txs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
