@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,19 +75,18 @@ def count_matches(text: Column, pattern: Column) -> Column:
     return F.coalesce((removed / F.nullif(F.length(pattern), F.lit(0))).cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def censor(text: Column, banned: Sequence[str], mask_last: bool = False) -> Column:
-    """Star out the inside of banned words, whatever their case.
+def runs_of(text: Column) -> Column:
+    """Runs of letters and digits, and the runs between them: joined they are the text."""
+    return F.regexp_extract_all(text, F.lit(_RUNS), F.lit(0))
 
-    A word that ends the text is left alone unless mask_last is set.
-    """
-    terms = [term for term in banned if len(term) > 2]
-    if not terms:
-        return text
-    runs = F.regexp_extract_all(text, F.lit(_RUNS), F.lit(0))
+
+def mask_runs(text: Column, is_banned: Callable[[Column], Column], mask_last: bool) -> Column:
+    """Star out the inside of the runs whose lower case is banned; of the last one only if mask_last is set."""
+    runs = runs_of(text)
 
     def mask(run: Column) -> Column:
         starred = F.concat(F.left(run, F.lit(1)), F.repeat(F.lit("*"), F.length(run) - 2), F.right(run, F.lit(1)))
-        return F.when(F.lower(run).isin(*terms), starred).otherwise(run)
+        return F.when(is_banned(F.lower(run)), starred).otherwise(run)
 
     if mask_last:
         return F.array_join(F.transform(runs, mask), "")
@@ -95,6 +94,15 @@ def censor(text: Column, banned: Sequence[str], mask_last: bool = False) -> Colu
     return F.concat(F.array_join(body, ""), F.coalesce(F.try_element_at(runs, F.lit(-1)), F.lit("")))
 
 
+def censor(text: Column, banned: Sequence[str], mask_last: bool = False) -> Column:
+    """Star out the inside of banned words, whatever their case; for lists that fit into an expression.
+
+    A word that ends the text is left alone unless mask_last is set.
+    """
+    terms = [term for term in banned if len(term) > 2]
+    return mask_runs(text, lambda run: run.isin(*terms), mask_last) if terms else text
+
+
 def rot13(text: Column) -> Column:
     """Shift lower-case letters by half the alphabet; other characters stay."""
     plain = "abcdefghijklmnopqrstuvwxyz"

@@ -76,7 +76,7 @@ def _rolled_up(fine: DataFrame, grid: Grid, keys: Sequence[str], sums: Sequence[
     return fine.select(F.inline(F.array(*cells)), *keys, *sums).groupBy(*CELL, *keys).agg(*(F.sum(c).alias(c) for c in sums))
 
 
-def summarize(posts: DataFrame, stop: Sequence[str], grid: Grid | None = None) -> Summaries:
+def summarize(posts: DataFrame, stop: topics.Terms, grid: Grid | None = None) -> Summaries:
     """The stored sums and index of posts (tid, sender_uid, timestamp, content, counts of engagement)."""
     valued = topics.with_impact(posts, stop)
     terms = F.array_distinct(F.transform(tokens(F.col("content")), F.lower))
@@ -175,7 +175,7 @@ def request_sizes(requests: DataFrame, stored: Summaries, edges: DataFrame | Non
     return parts.groupBy("request_id").agg(F.sum("n").alias("n"))
 
 
-def request_words(requests: DataFrame, stored: Summaries, stop: Sequence[str], edges: DataFrame | None = None) -> DataFrame:
+def request_words(requests: DataFrame, stored: Summaries, stop: topics.Terms, edges: DataFrame | None = None) -> DataFrame:
     """Per request and word: weight and df, summed over inner cells and edges."""
     edges = edge_posts(requests, stored) if edges is None else edges
     cells = inner_cells(split_requests(requests, stored.grid))
@@ -184,7 +184,7 @@ def request_words(requests: DataFrame, stored: Summaries, stop: Sequence[str], e
     return parts.groupBy("request_id", "word").agg(F.sum("weight").alias("weight"), F.sum("df").alias("df"))
 
 
-def request_scores(requests: DataFrame, stored: Summaries, stop: Sequence[str]) -> DataFrame:
+def request_scores(requests: DataFrame, stored: Summaries, stop: topics.Terms) -> DataFrame:
     """Score of each word of each request; the edges are stored, as two sums read them."""
     edges = materialize(edge_posts(requests, stored), "edges")
     sizes = request_sizes(requests, stored, edges)

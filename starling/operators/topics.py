@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from starling.functions import scores
 from starling.functions.text import strip_urls, tokens, words
+from starling.operators import terms
 
 # Scores that differ by less than this many digits rank as equal: sums of doubles depend on their order.
 RANK_DIGITS = 9
 
+Terms = Sequence[str] | DataFrame
+
 
 def post_words(text: Column) -> Column:
     """The words of a post that count for scores: those outside links."""
@@ -42,15 +45,26 @@ def doc_freq(posts: DataFrame) -> DataFrame:
     )
 
 
-def with_impact(posts: DataFrame, stop: Sequence[str]) -> DataFrame:
-    """Add the words, the number of effective words and the impact of each post."""
+def with_impact(posts: DataFrame, stop: Terms) -> DataFrame:
+    """Add the words, the number of effective words and the impact of each post.
+
+    Stop words are a list, or a table of any size, here and below.
+    """
+    if isinstance(stop, DataFrame):
+        rows = terms.numbered(with_words(posts))
+        joined = rows.join(terms.counted(rows, stop), "_row", "left")
+        effective = (F.size("words") - F.coalesce("_stopped", F.lit(0))).cast("bigint")
+        return joined.withColumn("effective", effective).withColumn("impact", impact_of()).drop("_row", "_stopped")
     effective = F.size(F.filter("words", lambda w: ~w.isin(*stop))) if stop else F.size("words")
     counted = with_words(posts).withColumn("effective", effective.cast("bigint"))
-    value = scores.impact(F.col("effective"), F.col("favorite_count"), F.col("retweet_count"), F.col("followers_count"))
-    return counted.withColumn("impact", value)
+    return counted.withColumn("impact", impact_of())
+
+
+def impact_of() -> Column:
+    return scores.impact(F.col("effective"), F.col("favorite_count"), F.col("retweet_count"), F.col("followers_count"))
 
 
-def word_weights(posts: DataFrame, stop: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+def word_weights(posts: DataFrame, stop: Terms, keys: Sequence[str] = ()) -> DataFrame:
     """Per word the posts that have it and the sum of tf * ln(impact + 1); one shuffle.
 
     The idf of a word is the same in all posts, so it can wait until after the sum. Each occurrence of a word adds
@@ -61,7 +75,7 @@ def word_weights(posts: DataFrame, stop: Sequence[str], keys: Sequence[str] = ()
     return weights_of(with_impact(posts, stop), stop, keys)
 
 
-def weights_of(valued: DataFrame, stop: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+def weights_of(valued: DataFrame, stop: Terms, keys: Sequence[str] = ()) -> DataFrame:
     """The same from posts that have their words and impact."""
     share = scores.impact_weight(F.col("impact")) / F.nullif(F.size("words"), F.lit(0))
     shared = valued.withColumn("_share", share)
@@ -71,11 +85,14 @@ def weights_of(valued: DataFrame, stop: Sequence[str], keys: Sequence[str] = ())
         F.array_distinct("words"), lambda w: F.struct(w.alias("word"), F.lit(0.0).alias("w"), one.alias("d"))
     )
     rows = shared.select(*keys, F.inline(F.concat(occurrences, distinct)))
-    kept = rows.where(~F.col("word").isin(*stop)) if stop else rows
+    if isinstance(stop, DataFrame):
+        kept = terms.without(rows, stop)
+    else:
+        kept = rows.where(~F.col("word").isin(*stop)) if stop else rows
     return kept.groupBy(*keys, "word").agg(F.sum("w").alias("weight"), F.sum("d").alias("df"))
 
 
-def topic_scores(posts: DataFrame, stop: Sequence[str]) -> DataFrame:
+def topic_scores(posts: DataFrame, stop: Terms) -> DataFrame:
     """Score of each word that is no stop word: the sum over posts of tf * ln(N / df) * ln(impact + 1).
 
     N counts all given posts, also those without a word.
@@ -84,7 +101,7 @@ def topic_scores(posts: DataFrame, stop: Sequence[str]) -> DataFrame:
     return scored(word_weights(posts, stop).withColumn("n", total), ())
 
 
-def request_topic_scores(hits: DataFrame, stop: Sequence[str]) -> DataFrame:
+def request_topic_scores(hits: DataFrame, stop: Terms) -> DataFrame:
     """The same per request. N is one row per request."""
     sizes = corpus_size(hits)
     weights = word_weights(hits, stop, ["request_id"])
@@ -109,10 +126,10 @@ def rank_posts() -> list[Column]:
     return [F.col("impact").desc(), F.col("tid").desc()]
 
 
-def posts_with_terms(posts: DataFrame, terms: Sequence[str]) -> DataFrame:
+def posts_with_terms(posts: DataFrame, wanted: Sequence[str]) -> DataFrame:
     """Posts that have any of the lower-case terms; links are searched too."""
-    return posts.where(has_any(F.col("content"), F.array(*[F.lit(t) for t in terms]).cast("array<string>")))
+    return posts.where(has_any(F.col("content"), F.array(*[F.lit(t) for t in wanted]).cast("array<string>")))
 
 
-def has_any(text: Column, terms: Column) -> Column:
-    return F.arrays_overlap(F.transform(tokens(text), F.lower), terms)
+def has_any(text: Column, wanted: Column) -> Column:
+    return F.arrays_overlap(F.transform(tokens(text), F.lower), wanted)

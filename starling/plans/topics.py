@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from starling.functions.text import censor, format_post
-from starling.operators import summaries
+from starling.operators import summaries, terms
 from starling.operators import topics as ops
 from starling.operators.dedup import first_rows, newest_first
 from starling.operators.ranges import range_join
@@ -46,22 +44,22 @@ def _limits(requests: DataFrame) -> tuple[int, int]:
     return most.n1 or 0, most.n2 or 0
 
 
-def top_words(requests: DataFrame, found: DataFrame, stop: Sequence[str]) -> DataFrame:
+def top_words(requests: DataFrame, found: DataFrame, stop: ops.Terms) -> DataFrame:
     scored = ops.request_topic_scores(found, stop)
     return _top(scored, "word", ops.rank_words(), requests, "n1", _limits(requests)[0])
 
 
-def top_posts(requests: DataFrame, found: DataFrame, words: DataFrame, stop: Sequence[str]) -> DataFrame:
+def top_posts(requests: DataFrame, found: DataFrame, words: DataFrame, stop: ops.Terms) -> DataFrame:
     """Posts with any of the request's topic words, by impact. The words are at most n1 per request."""
-    terms = words.groupBy("request_id").agg(F.collect_list("word").alias("_terms"))
-    joined = found.join(terms, "request_id")
+    wanted = words.groupBy("request_id").agg(F.collect_list("word").alias("_terms"))
+    joined = found.join(wanted, "request_id")
     matching = joined.where(ops.has_any(F.col("content"), F.col("_terms"))).drop("_terms")
     valued = ops.with_impact(matching, stop)
     return _top(valued, "tid", ops.rank_posts(), requests, "n2", _limits(requests)[1])
 
 
 def topics(
-    requests: DataFrame, posts: DataFrame, stop: Sequence[str], banned: Sequence[str]
+    requests: DataFrame, posts: DataFrame, stop: ops.Terms, banned: ops.Terms
 ) -> tuple[DataFrame, DataFrame]:
     """Ranked topic words and ranked posts of each request, banned words starred out."""
     found = hits(requests, posts)
@@ -72,7 +70,7 @@ def topics(
 
 
 def topics_of(
-    requests: DataFrame, stored: summaries.Summaries, posts: DataFrame, stop: Sequence[str], banned: Sequence[str]
+    requests: DataFrame, stored: summaries.Summaries, posts: DataFrame, stop: ops.Terms, banned: ops.Terms
 ) -> tuple[DataFrame, DataFrame]:
     """The same from stored sums and index of the posts, unique by tid: of posts, only the texts of the ranked ones are read."""
     words, posts_most = _limits(requests)
@@ -83,23 +81,26 @@ def topics_of(
     return _shown(words, best.join(posts.select("tid", "content"), "tid"), banned)
 
 
-def _shown(words: DataFrame, best: DataFrame, banned: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def _shown(words: DataFrame, best: DataFrame, banned: ops.Terms) -> tuple[DataFrame, DataFrame]:
+    def masked(df: DataFrame, column: str, mask_last: bool) -> DataFrame:
+        if isinstance(banned, DataFrame):
+            return terms.censor(df.withColumn("text", F.col(column)), banned, "text", mask_last)
+        return df.withColumn("text", censor(F.col(column), banned, mask_last))
+
     # A word is always followed by its score in the report, so it never ends the text.
-    masked = censor(F.col("word"), banned, mask_last=True)
-    text = censor(F.col("content"), banned)
+    words = masked(words, "word", True)
+    best = masked(best, "content", False)
     return (
-        words.select("request_id", "rank", "word", masked.alias("text"), "score"),
-        best.withColumn("text", text).select(
-            "request_id", "rank", "tid", "impact", "text", format_post(*map(F.col, ("impact", "tid", "text"))).alias("line")
-        ),
+        words.select("request_id", "rank", "word", "text", "score"),
+        best.select("request_id", "rank", "tid", "impact", "text", format_post(*map(F.col, ("impact", "tid", "text"))).alias("line")),
     )
 
 
 def report(
     requests: DataFrame,
     posts: DataFrame,
-    stop: Sequence[str],
-    banned: Sequence[str],
+    stop: ops.Terms,
+    banned: ops.Terms,
     stored: summaries.Summaries | None = None,
 ) -> DataFrame:
     """Both lists in one table: kind is `word` or `post`, value the score or the impact. From stored sums, if given."""

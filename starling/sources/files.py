@@ -57,8 +57,11 @@ def read_terms(spark: SparkSession, path: str) -> DataFrame:
 
 
 def term_list(terms: DataFrame, limit: int = MAX_TERMS) -> list[str]:
-    """The terms as a list for use inside an expression; refuses lists beyond the limit."""
+    """The terms as a list for use inside an expression.
+
+    Longer lists stay tables: operators.terms does the same with a table of any size, and the plans take either.
+    """
     rows = terms.select("term").where("term IS NOT NULL").distinct().limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} terms; join the table instead")
+        raise ValueError(f"more than {limit} terms; pass the table")
     return sorted(row.term for row in rows)

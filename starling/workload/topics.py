@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starling.functions import scores, text
-from starling.operators import hashtags, ranges, summaries
+from starling.operators import hashtags, ranges, summaries, terms
 from starling.operators import topics as ops
 from starling.plans import topics as plan
 from starling.workload.registry import query
@@ -125,3 +125,12 @@ query(
 query("fn_censor", f"SELECT tid, {censored('content')} AS text FROM topic_posts")(
     lambda t: t.topic_posts.select("tid", text.censor(F.col("content"), t.banned).alias("text"))
 )
+# The same with the lists as tables, which may have any length.
+query("fn_censor_table", f"SELECT tid, {censored('content')} AS text FROM topic_posts")(
+    lambda t: terms.censor(t.topic_posts.select("tid", "content"), t.terms(tuple(t.banned))).select(
+        "tid", F.col("content").alias("text")
+    )
+)
+query("fn_impact_table", "SELECT tid, impact, effective FROM impacts")(
+    lambda t: ops.with_impact(t.topic_posts, t.terms(tuple(t.stop))).select("tid", "impact", "effective")
+)
