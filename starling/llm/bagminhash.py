@@ -210,9 +210,20 @@ def connected(links: DataFrame) -> DataFrame:
         roots = new.select("node", "root")
 
 
+def contracted(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """roots (node, root) after more links (a, b). Only the classes that they connect are gone through again."""
+    for side in ("a", "b"):
+        own = roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+        links = links.join(own, side)
+    edges = materialize(links.filter("a_root <> b_root").select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), "edges")
+    if edges.isEmpty():
+        return roots
+    new = connected(edges).select(F.col("node").alias("root"), F.col("root").alias("new"))
+    return materialize(roots.join(new, "root", "left").select("node", F.coalesce("new", "root").alias("root")), "roots")
+
+
 def _with_roots(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    members = shared.join(roots.withColumnRenamed("node", "copy"), "copy", "left")
-    return materialize(members.withColumn("root", F.coalesce("root", "copy")), "members")
+    return materialize(shared.join(roots.withColumnRenamed("node", "copy"), "copy"), "members")
 
 
 def _outside(members: DataFrame) -> DataFrame:
@@ -274,20 +285,20 @@ def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
     first = shared.filter("copy <> hub").groupBy("copy").agg(F.max(F.struct("degree", "hub")).alias("best"))
     first = first.select("copy", F.col("best.hub").alias("first"))
     links = materialize(verified(first.select(F.col("copy").alias("a"), F.col("first").alias("b")), units, least), "verified")
-    members = _with_roots(shared, connected(links))
+    roots = shared.select(F.col("copy").alias("node")).distinct().withColumn("root", F.col("node"))
+    roots = contracted(materialize(roots, "roots"), links)
+    members = _with_roots(shared, roots)
     outside = _outside(members).join(first, "copy").filter("hub <> first")
     pairs = outside.select(F.col("copy").alias("a"), F.col("hub").alias("b")).distinct()
-    links = links.unionByName(materialize(verified(pairs, units, least), "verified"))
-    roots = connected(links)
+    roots = contracted(roots, materialize(verified(pairs, units, least), "verified"))
     members, used, width = _with_roots(shared, roots), None, 16
     while True:
         pivots, pairs = _further(members, nodes, used, width, least)
         if pivots.isEmpty():
             break
-        new = materialize(verified(pairs, units, least), "verified")
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            roots = connected(links)
+        after = contracted(roots, materialize(verified(pairs, units, least), "verified"))
+        if after is not roots:
+            roots = after
             members = _with_roots(shared, roots)
         used = pivots if used is None else used.unionByName(pivots)
         width *= 16
