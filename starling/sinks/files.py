@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starling.sources.files import SEPARATOR, read_delimited
@@ -34,6 +36,33 @@ def load_delimited(
     (writer.option("path", location) if location else writer).saveAsTable(table)
 
 
+def load_new_files(spark: SparkSession, path: str, location: str, schema: StructType, header: bool = False) -> DataFrame:
+    """Add the delimited files of a folder that have not been loaded yet, and return the whole table.
+
+    Each row keeps its file (path, size and time of change, from the reader's own metadata), so the table itself says what
+    has been loaded: files that it names are left out by an anti join. A load is written aside, where readers do not look,
+    and comes in by one rename: what a failed load leaves behind is never seen, and the next load takes its files again.
+    A file that has changed counts as another one.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(location)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    file = F.struct(*[F.col(f"_metadata.{c}") for c in ("file_path", "file_size", "file_modification_time")])
+    rows = read_delimited(spark, path, schema, header).select("*", file.alias("_file"))
+    if store.exists(root) and len(store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{location}/load=*"))):
+        rows = rows.join(spark.read.parquet(location).select("_file").distinct(), "_file", "left_anti")
+    load = uuid.uuid4().hex
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{location}/_load-{load}")
+    rows.write.parquet(aside.toString())
+    if not store.rename(aside, spark._jvm.org.apache.hadoop.fs.Path(f"{location}/load={load}")):
+        raise OSError(f"{aside} cannot be renamed")
+    return loaded(spark, location)
+
+
+def loaded(spark: SparkSession, location: str) -> DataFrame:
+    """All rows that `load_new_files` has brought in."""
+    return spark.read.parquet(location).drop("_file", "load")
+
+
 def save_table(df: DataFrame, name: str, location: str | None = None) -> None:
     """Replace a table by a result."""
     writer = df.write.mode("overwrite").format("parquet")

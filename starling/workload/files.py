@@ -99,6 +99,20 @@ def _loaded(t):
 query("load_delimited_table", "SELECT sender_uid, hashtags FROM posts_raw")(_loaded)
 
 
+def _loaded_again(t):
+    """Half of the rows, then the whole folder, twice."""
+    path, location = scratch_path(t.spark, "load"), scratch_path(t.spark, "table")
+    pairs = t.posts_raw.select("tid", "sender_uid", "hashtags")
+    for half in (0, 1):
+        part = pairs.where(F.col("tid") % 2 == half).drop("tid")
+        sinks.write_delimited(part, f"{path}/half={half}", header=False)
+        sinks.load_new_files(t.spark, f"{path}/*/*.csv", location, USER_TAGS)
+    return sinks.load_new_files(t.spark, f"{path}/*/*.csv", location, USER_TAGS)
+
+
+query("load_new_files", "SELECT sender_uid, hashtags FROM posts_raw")(_loaded_again)
+
+
 def _saved(t):
     table = f"starling_{uuid.uuid4().hex}"
     location = scratch_path(t.spark, "table")

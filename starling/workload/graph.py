@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starling.operators import documents, graph, hashtags
+from starling.operators import documents, graph, hashtags, similar_users
 from starling.operators.lookup import TYPE_WORDS
 from starling.plans import recommend as rec
 from starling.plans.combined import combined
@@ -83,6 +83,13 @@ def _pairs_and_counts(t):
 query("shared_hashtag_pairs", "SELECT lo, hi, overlap AS cnt FROM overlap WHERE lo <> hi AND overlap > 0")(
     lambda t: hashtags.shared_hashtag_pairs(*_pairs_and_counts(t))
 )
+# Of all users, not only of those in contact.
+_LEAST_SHARED = 30
+query(
+    "shared_hashtag_pairs_above",
+    f"""SELECT x.uid AS lo, y.uid AS hi, CAST(sum(x.cnt + y.cnt) AS BIGINT) AS cnt FROM tag_counts x
+  JOIN tag_counts y ON y.tag = x.tag AND x.uid < y.uid GROUP BY 1, 2 HAVING sum(x.cnt + y.cnt) >= {_LEAST_SHARED}""",
+)(lambda t: similar_users.pairs_above(_pairs_and_counts(t)[1], _LEAST_SHARED))
 query("contact_hashtag_overlap", "SELECT lo, hi, overlap FROM overlap")(
     lambda t: hashtags.contact_overlap(*_pairs_and_counts(t))
 )

@@ -97,3 +97,29 @@ def test_key_ranges_cover_every_key_once(spark, lower, upper, parts):
 def test_column_types(spark):
     df = spark.createDataFrame([], "a string, b long, c double, d array<int>, e int")
     assert jdbc.column_types(df, {"e": "SMALLINT"}) == "a VARCHAR(2000), b NUMERIC(19), c NUMERIC(19,4), e SMALLINT"
+
+
+def test_files_are_loaded_once(spark, tmp_path, rows):
+    source, location = tmp_path / "in", str(tmp_path / "table")
+    source.mkdir()
+    (source / "a.csv").write_text("1⊢x\n2⊢y\n2⊢y\n")
+    schema = "sender_uid long, hashtags string"
+
+    def load():
+        return rows(sinks.load_new_files(spark, str(source), location, schema))
+
+    assert load() == load() == [(1, "x"), (2, "y"), (2, "y")]
+    (source / "b.csv").write_text("3⊢z\n")
+    assert load() == [(1, "x"), (2, "y"), (2, "y"), (3, "z")]
+    # What a load that failed has left aside is not seen, and its files are taken again.
+    sinks.write_delimited(spark.createDataFrame([(9, "lost")], schema), f"{location}/_load-broken")
+    (source / "c.csv").write_text("4⊢\n")
+    assert load() == load() == [(1, "x"), (2, "y"), (2, "y"), (3, "z"), (4, None)]
+    assert rows(sinks.loaded(spark, location)) == load()
+
+
+def test_a_folder_without_rows(spark, tmp_path, rows):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("")
+    for _ in range(2):
+        assert rows(sinks.load_new_files(spark, str(tmp_path / "in"), str(tmp_path / "table"), "k long")) == []
