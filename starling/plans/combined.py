@@ -34,16 +34,20 @@ def pair_facts(posts: DataFrame) -> DataFrame:
     return latest_interaction(latest_contact(posts), interactions(posts))
 
 
+def contact_facts(posts: DataFrame, popular: DataFrame) -> DataFrame:
+    """lo, hi, interaction, latest_post and hashtag_cnt of each unordered pair; facts and tag counts are stored, as both are read again."""
+    facts = materialize(pair_facts(posts), "facts")
+    counts = materialize(tag_counts(posts, popular), "tags")
+    overlap = contact_overlap(facts, counts).withColumnRenamed("overlap", "hashtag_cnt")
+    return facts.join(overlap, ["lo", "hi"])
+
+
 def combined(posts: DataFrame, users: DataFrame, popular: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
     """Documents, shared tags, interactions, latest post and profile of each contact.
 
     Everything but the profile is the same for both directions of a pair, so it is built once per unordered pair and
     mirrored last; a pair of a user with itself gives one row. Posts must be unique by tid and stored: they are read
-    once per branch, each with its own columns. Pair facts and tag counts are stored here, as both are read again.
+    once per branch, each with its own columns.
     """
-    facts = materialize(pair_facts(posts), "facts")
-    counts = materialize(tag_counts(posts, popular), "tags")
-    overlap = contact_overlap(facts, counts).withColumnRenamed("overlap", "hashtag_cnt")
-    docs = typed_pair_docs(posts, page_rows)
-    pairs = docs.join(facts.join(overlap, ["lo", "hi"]), ["lo", "hi"])
+    pairs = typed_pair_docs(posts, page_rows).join(contact_facts(posts, popular), ["lo", "hi"])
     return with_profile(mirror(pairs, "lo", "hi", self_twice=False), users).select(*COLUMNS)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from starling.functions import scores
 from starling.functions.keys import pair_high, pair_low
@@ -26,9 +27,10 @@ def request_contacts(requests: DataFrame, posts: DataFrame) -> DataFrame:
     asked = requests.select(
         "request_id", "uid", type_of(F.col("type")).alias("asked"), "phrase", F.lower("hashtag").alias("hashtag_term")
     )
-    rows = mirror(edges(posts, "timestamp", "tid", "content", "hashtags"), "a", "b")
-    # Which side is sent to all tasks is left to Spark, which knows the sizes.
-    hits = rows.join(asked, "uid")
+    # Ids are mirrored and cut to the asked users; only then texts come, once for each post that is left. Which side is
+    # sent to all tasks is left to Spark, which knows the sizes.
+    linked = mirror(edges(posts, "tid"), "a", "b").join(asked.select("uid").distinct(), "uid", "left_semi")
+    hits = linked.join(posts.select("tid", "timestamp", "content", "hashtags"), "tid").join(asked, "uid")
 
     in_type = F.col("asked").isNull() | (F.col("asked") == F.col("type"))
     phrases = count_matches(F.col("content"), F.col("phrase"))
@@ -73,6 +75,22 @@ def sort_contacts(scored: DataFrame) -> DataFrame:
     return scored.orderBy("request_id", F.desc("score"), F.desc("contact_uid"))
 
 
+def ranked(ordered: DataFrame) -> DataFrame:
+    """Add the rank within the request, from 1, of rows that come in the order of sort_contacts.
+
+    Rows are numbered as they come: by task and place, less the number of the request's first row.
+    """
+    stored = materialize(ordered.withColumn("_row", F.monotonically_increasing_id()), "ordered")
+    # A task's numbers have no gaps, and a request lies in consecutive tasks.
+    task = F.shiftright("_row", 33)
+    counts = stored.groupBy("request_id", task.alias("_task")).agg(F.count("*").alias("_rows"), F.min("_row").alias("_first"))
+    before = Window.partitionBy("request_id").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
+    joined = stored.withColumn("_task", task).join(counts, ["request_id", "_task"])
+    rank = F.col("_before") + F.col("_row") - F.col("_first") + 1
+    return joined.withColumn("rank", rank).drop("_row", "_task", "_first", "_before")
+
+
 def recommend(requests: DataFrame, posts: DataFrame, users: DataFrame, popular: DataFrame) -> DataFrame:
     """Scored contacts of each request with profile, latest post and the response line. Posts unique by tid.
 

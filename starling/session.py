@@ -58,6 +58,12 @@ def drop_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def is_stored(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at the path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path or "/")
+    return bool(path) and place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write once, read many times.
 

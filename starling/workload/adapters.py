@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import zlib
+from collections.abc import Callable
 from functools import cached_property
+from typing import Any, TypeVar
 
 import pandas as pd
 import pyarrow as pa
@@ -16,8 +18,8 @@ from pyspark.sql.window import Window
 from starling.functions import ledger as fn
 from starling.operators.dedup import dedup_posts
 from starling.operators.summaries import Summaries, summarize
-from starling.plans import ingest
-from starling.session import materialize, small_table
+from starling.plans import ingest, serving
+from starling.session import is_stored, materialize, scratch_path, small_table
 from starling.sources.files import term_list
 
 # Term lists and requests of the workload.
@@ -38,6 +40,9 @@ TOPIC_REQUESTS = (
 )
 BLOCKS_PER_PAYLOAD = 4
 
+T = TypeVar("T")
+_STORED: dict[tuple[str, str, str], tuple[str, Any]] = {}
+
 
 def epoch(column: str) -> Column:
     return F.unix_seconds(F.col(column).cast("timestamp"))
@@ -131,9 +136,31 @@ class Tables:
             "lang",
         )
 
-    @cached_property
+    def stored(self, name: str, build: Callable[[], tuple[str, T]]) -> T:
+        """What `build` has stored in a folder, once for an application and tables: later queries answer from it."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _STORED or not is_stored(self.spark, _STORED[key][0]):
+            _STORED[key] = build()
+        return _STORED[key][1]
+
+    @property
     def topic_summaries(self) -> Summaries:
-        return summarize(self.topic_posts, self.stop)
+        def build():
+            found = summarize(self.topic_posts, self.stop)
+            return found.index.inputFiles()[0] if found.index.inputFiles() else "", found
+
+        return self.stored("summaries", build)
+
+    @property
+    def serving(self) -> str:
+        """The folder of the tables that are laid out by user."""
+
+        def build():
+            path = scratch_path(self.spark, "serving")
+            serving.write(self.stored_posts, self.users, self.popular, path)
+            return path, path
+
+        return self.stored("serving", build)
 
     @cached_property
     def raw(self) -> DataFrame:

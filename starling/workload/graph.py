@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from starling.operators import documents, graph, hashtags, similar_users
 from starling.operators.lookup import TYPE_WORDS
 from starling.plans import recommend as rec
+from starling.plans import serving
 from starling.plans.combined import combined
 from starling.session import materialize
 from starling.workload.registry import query
@@ -119,20 +120,32 @@ def _recommend(t):
     return found.withColumn("score", F.round("score", 6))
 
 
-query("q_recommend", _RECOMMEND)(_recommend)
-query("sort_contacts", _RECOMMEND)(lambda t: rec.sort_contacts(_recommend(t)))
+def _recommend_stored(t):
+    found = serving.recommend(t.contact_requests, t.spark, t.serving)
+    return found.withColumn("score", F.round("score", 6))
+
+
+query("q_recommend", _RECOMMEND)(_recommend_stored)
+# The same without stored tables, for requests that are asked once.
+query("q_recommend_at_once", _RECOMMEND)(_recommend)
+# The rank says in which order the rows come.
+query(
+    "sort_contacts",
+    f"""SELECT *, CAST(row_number() OVER (PARTITION BY request_id ORDER BY score DESC, contact_uid DESC) AS BIGINT) AS rank
+  FROM ({_RECOMMEND}) AS r""",
+)(lambda t: rec.ranked(rec.sort_contacts(_recommend_stored(t))))
 query(
     "join_requests_contacts",
     """SELECT c.request_id, c.uid, c.contact_uid, CAST(c.phrase_matches AS BIGINT) AS phrase_matches,
   CAST(c.tag_matches AS BIGINT) AS tag_matches, s.interaction, s.latest_post FROM contacts c JOIN scored s
   ON s.request_id = c.request_id AND s.contact_uid = c.contact_uid""",
-)(lambda t: rec.request_contacts(t.contact_requests, t.posts))
+)(lambda t: serving.contacts(t.contact_requests, t.spark, t.serving).select(*rec.CONTACT))
 query(
     "agg_merge_types",
     """SELECT request_id, contact_uid, CAST(phrase_matches + tag_matches AS BIGINT) AS matches, interaction FROM scored
   WHERE request_id IN (SELECT request_id FROM contact_requests WHERE type NOT IN ('reply', 'retweet'))""",
 )(
-    lambda t: rec.request_contacts(t.contact_requests.where(~F.col("type").isin(*TYPE_WORDS)), t.posts).select(
+    lambda t: serving.contacts(t.contact_requests.where(~F.col("type").isin(*TYPE_WORDS)), t.spark, t.serving).select(
         "request_id", "contact_uid", (F.col("phrase_matches") + F.col("tag_matches")).alias("matches"), "interaction"
     )
 )

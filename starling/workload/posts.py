@@ -9,9 +9,6 @@ from starling.operators import clean, dedup, graph, lookup, quality
 from starling.operators.documents import contact_docs
 from starling.operators.split_points import split_points
 from starling.plans import ingest
-from starling.plans.combined import combined
-from starling.session import scratch_path
-from starling.sinks.files import write_serving
 from starling.workload.registry import query
 from starling.workload.views import POST_COLUMNS
 
@@ -100,15 +97,8 @@ def _docs_of(t, uid):
 query("lookup_contacts", f"{_DOCS} WHERE type = 0 AND uid = 42")(lambda t: _docs_of(t, 42))
 
 
-def _served_combined(t):
-    """The combined table laid out for lookups, as it would be for many of them."""
-    path = scratch_path(t.spark, "combined")
-    write_serving(combined(t.stored_posts, t.users, t.popular), path, ["uid", "contact_uid", "type", "part"])
-    return t.spark.read.parquet(path)
-
-
 query("lookup_contacts_by_type", "SELECT * FROM combined WHERE uid = 7 AND type = 1")(
-    lambda t: lookup.lookup_contacts_by_type(_served_combined(t), 7, "retweet")
+    lambda t: lookup.lookup_contacts_by_type(t.spark.read.parquet(f"{t.serving}/docs"), 7, "retweet")
 )
 query(
     "lookup_pairs",

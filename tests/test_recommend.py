@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from starling.functions.text import count_matches
 from starling.plans import recommend as rec
+from starling.plans import serving
 from starling.plans.combined import combined
 
 
@@ -90,3 +91,60 @@ def test_recommendations_agree_with_the_combined_table(posts_of, requests_of, us
         assert rows(
             got.select("uid", "contact_uid", "matches", "interaction", "overlap", line[3], line[1])
         ) == rows(expected)
+
+
+def random_posts(posts_of, count=150, users=12, seed=8):
+    rng = random.Random(seed)
+
+    def uid():
+        return rng.choice([1, 1, rng.randrange(1, users)])
+
+    return posts_of(
+        *[
+            (
+                i,
+                rng.randrange(20),
+                " ".join(rng.choices(["go", "gogo", "Go", "x"], k=4)),
+                rng.choice([None, uid()]),
+                uid(),
+                rng.choice([None, uid()]),
+                ",".join(rng.choices(["A", "ab", "b", "pop"], k=3)),
+            )
+            for i in range(count)
+        ]
+    )
+
+
+def test_stored_tables_give_the_same(spark, tmp_path, posts_of, requests_of, users, terms_of, rows):
+    posts, path = random_posts(posts_of), str(tmp_path)
+    serving.write(posts, users, terms_of("pop"), path)
+    asked = requests_of(*[(10 * u + k, u, word, "go", "A") for u in (1, 2, 5, 77) for k, word in enumerate(("reply", "retweet", "both"))])
+    want = rows(rec.recommend(asked, posts, users, terms_of("pop")).withColumn("score", F.round("score", 9)))
+    assert rows(serving.recommend(asked, spark, path).withColumn("score", F.round("score", 9))) == want and want
+    assert rows(spark.read.parquet(f"{path}/docs")) == rows(combined(posts, users, terms_of("pop")))
+    assert rows(serving.recommend(asked.limit(0), spark, path)) == []
+
+
+def test_ranges_of_users_reach_the_scans(spark, tmp_path, posts_of, requests_of, users, terms_of):
+    posts, path = random_posts(posts_of, 400, users=300), str(tmp_path)
+    serving.write(posts, users, terms_of(), path, docs=False)
+    asked = requests_of((1, 5, "both", "go", "a"), (2, 290, "both", "go", "a"), (3, 290, "reply", "x", "b"))
+    execution = serving.contacts(asked, spark, path)._jdf.queryExecution()
+    assert execution.executedPlan().toString().count("GreaterThanOrEqual(uid,5)") == 2
+    assert execution.optimizedPlan().toString().count("<= 290)") >= 2
+    wide = requests_of(*[(i, 7 * i, "both", "go", "a") for i in range(1000)])
+    within = spark.range(7000).select(F.col("id").alias("uid")).where(serving.user_ranges(wide))
+    assert within.join(wide, "uid").count() == 1000
+    text = within._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count(">=") <= serving.RANGES
+
+
+def test_ranks_follow_the_order_over_many_tasks(spark):
+    scored = spark.range(2000).select(
+        (F.col("id") % 3).alias("request_id"), (F.col("id") * 7919 % 13).cast("double").alias("score"), F.col("id").alias("contact_uid")
+    )
+    found = rec.ranked(rec.sort_contacts(scored)).collect()
+    for request in range(3):
+        own = sorted((r for r in found if r.request_id == request), key=lambda r: r["rank"])
+        assert [r["rank"] for r in own] == list(range(1, len(own) + 1))
+        assert [(r.score, r.contact_uid) for r in own] == sorted(((r.score, r.contact_uid) for r in own), reverse=True)
