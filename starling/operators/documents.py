@@ -2,8 +2,8 @@
 
 A document of a hot key could hold a large part of all rows, more than one row, task or string can. So the rows of every
 key are numbered in time order and cut into pages of `page_rows` rows; column `part` numbers them from 0, and the pages
-of a key, joined in order, are its document. Rows are numbered within spans of time, and the counts of the spans are
-carried on, so no key comes together in one task for it.
+of a key, joined in order, are its document. Rows are numbered by a sort over ranges of key and time, so no key, and no week
+of a key, comes together in one task for it.
 """
 
 from __future__ import annotations
@@ -12,30 +12,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from starling.operators.graph import edges, mirror, replies, retweets, unordered
+from starling.operators.positions import with_places
 
 # Rows in a page.
 PAGE_ROWS = 10_000
 
-# Rows of a key are numbered within spans of so many seconds.
-SPAN_SECONDS = 7 * 24 * 3600
-
 
 def add_pages(df: DataFrame, keys: Sequence[str], order: Sequence[str], page_rows: int) -> DataFrame:
-    """Add `part`, the page of each row: its place among the rows of its key, by page_rows. The order starts with a time.
-
-    Keys are never null.
-    """
-    spans = df.withColumn("_span", F.coalesce(F.floor(F.col(order[0]) / SPAN_SECONDS), F.lit(-(1 << 62))))
-    counts = spans.groupBy(*keys, "_span").agg(F.count("*").alias("_rows"))
-    earlier = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
-    placed = spans.withColumn("_place", F.row_number().over(Window.partitionBy(*keys, "_span").orderBy(*order)))
-    joined = placed.join(counts, [*keys, "_span"])
-    page = F.floor((F.col("_before") + F.col("_place") - 1) / page_rows)
-    return joined.withColumn("part", page.cast("bigint")).drop("_span", "_before", "_place")
+    """Add `part`, the page of each row: its place among the rows of its key, by page_rows. Keys are never null."""
+    placed = with_places(df, keys, order)
+    return placed.withColumn("part", F.floor(F.col("_place") / page_rows).cast("bigint")).drop("_place")
 
 
 def concatenate(

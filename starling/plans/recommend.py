@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from starling.functions import scores
 from starling.functions.keys import pair_high, pair_low
@@ -13,6 +12,7 @@ from starling.operators.dedup import first_rows
 from starling.operators.graph import edges, mirror, with_profile
 from starling.operators.hashtags import shared_tags, tag_counts
 from starling.operators.lookup import type_of
+from starling.operators.positions import places_in_order
 from starling.session import materialize
 
 CONTACT = ("request_id", "uid", "contact_uid", "phrase_matches", "tag_matches", "interaction", "latest_post")
@@ -76,19 +76,8 @@ def sort_contacts(scored: DataFrame) -> DataFrame:
 
 
 def ranked(ordered: DataFrame) -> DataFrame:
-    """Add the rank within the request, from 1, of rows that come in the order of sort_contacts.
-
-    Rows are numbered as they come: by task and place, less the number of the request's first row.
-    """
-    stored = materialize(ordered.withColumn("_row", F.monotonically_increasing_id()), "ordered")
-    # A task's numbers have no gaps, and a request lies in consecutive tasks.
-    task = F.shiftright("_row", 33)
-    counts = stored.groupBy("request_id", task.alias("_task")).agg(F.count("*").alias("_rows"), F.min("_row").alias("_first"))
-    before = Window.partitionBy("request_id").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
-    joined = stored.withColumn("_task", task).join(counts, ["request_id", "_task"])
-    rank = F.col("_before") + F.col("_row") - F.col("_first") + 1
-    return joined.withColumn("rank", rank).drop("_row", "_task", "_first", "_before")
+    """Add the rank within the request, from 1, of rows that come in the order of sort_contacts."""
+    return places_in_order(ordered, ["request_id"]).withColumn("rank", F.col("_place") + 1).drop("_place")
 
 
 def recommend(requests: DataFrame, posts: DataFrame, users: DataFrame, popular: DataFrame) -> DataFrame:

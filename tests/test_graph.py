@@ -39,8 +39,7 @@ def test_contact_docs_double_posts_to_oneself(small, rows):
     assert (1, 2, "a,b", "x,y") in docs and (2, 1, "a,b", "x,y") in docs
 
 
-def test_pages_in_order_are_the_document(spark, monkeypatch):
-    monkeypatch.setattr(documents, "SPAN_SECONDS", 7)
+def test_pages_in_order_are_the_document(spark):
     rng = random.Random(1)
     # One key holds a third of all rows.
     data = [(0 if i % 3 == 0 else rng.randrange(1, 40), i, rng.randrange(50), f"p{i}") for i in range(900)]
