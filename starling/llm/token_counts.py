@@ -28,6 +28,8 @@ from starling.llm.common import doc_texts, steps
 
 SPACE = "▁"
 MAX_WORDS = 400_000
+# Longer words, as of texts without blanks, are not kept: so the caches hold some 100 MB at most.
+MAX_KEPT = 48
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _TABLES: dict[str, PrefixTable] = {}
 
@@ -107,13 +109,17 @@ class PrefixTable:
                 self._words.clear()
             cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.seams]
             parts = [word[i:j] for i, j in zip([0, *cuts], [*cuts, len(word)], strict=True)]
-            found = self._words[word] = b"".join([self._parts.get(p) or self._steps_of_part(p) for p in parts])
+            found = b"".join([self._parts.get(p) or self._steps_of_part(p) for p in parts])
+            if len(word) <= MAX_KEPT:
+                self._words[word] = found
         return found
 
     def _steps_of_part(self, part: str) -> bytes:
         if len(self._parts) > MAX_WORDS:
             self._parts.clear()
-        found = self._parts[part] = self._fill(part)
+        found = self._fill(part)
+        if len(part) <= MAX_KEPT:
+            self._parts[part] = found
         return found
 
     def _fill(self, word: str) -> bytes:
