@@ -161,48 +161,47 @@ def edges_of(split: DataFrame) -> DataFrame:
     return found.where("uid_start <= uid_end AND time_start <= time_end")
 
 
-def edge_posts(requests: DataFrame, stored: Summaries) -> DataFrame:
-    """Posts of the requests that no inner cell covers, with their words and impact."""
-    return range_join(edges_of(split_requests(requests, stored.grid)), stored.posts.drop("terms"))
+def edge_posts(split: DataFrame, stored: Summaries) -> DataFrame:
+    """Posts of split requests that no inner cell covers, with their words and impact."""
+    return range_join(edges_of(split), stored.posts.drop("terms"))
 
 
-def request_sizes(requests: DataFrame, stored: Summaries, edges: DataFrame | None = None) -> DataFrame:
+def asked(requests: DataFrame, stored: Summaries) -> tuple[DataFrame, DataFrame]:
+    """Split requests and the posts at their edges, both stored: all that follows reads them."""
+    split = materialize(split_requests(requests, stored.grid), "split")
+    return split, materialize(edge_posts(split, stored), "edges")
+
+
+def request_sizes(split: DataFrame, edges: DataFrame, stored: Summaries) -> DataFrame:
     """request_id and n, the posts of each request that has some."""
-    edges = edge_posts(requests, stored) if edges is None else edges
-    cells = inner_cells(split_requests(requests, stored.grid))
-    parts = cells.join(stored.sizes, list(CELL)).select("request_id", "n")
+    parts = inner_cells(split).join(stored.sizes, list(CELL)).select("request_id", "n")
     parts = parts.unionByName(edges.groupBy("request_id").agg(F.count("*").alias("n")))
     return parts.groupBy("request_id").agg(F.sum("n").alias("n"))
 
 
-def request_words(requests: DataFrame, stored: Summaries, stop: topics.Terms, edges: DataFrame | None = None) -> DataFrame:
+def request_words(split: DataFrame, edges: DataFrame, stored: Summaries, stop: topics.Terms) -> DataFrame:
     """Per request and word: weight and df, summed over inner cells and edges."""
-    edges = edge_posts(requests, stored) if edges is None else edges
-    cells = inner_cells(split_requests(requests, stored.grid))
-    inner = cells.join(stored.words, list(CELL)).groupBy("request_id", "word").agg(F.sum("weight").alias("weight"), F.sum("df").alias("df"))
+    inner = inner_cells(split).join(stored.words, list(CELL)).select("request_id", "word", "weight", "df")
     parts = inner.unionByName(topics.weights_of(edges, stop, ["request_id"]))
     return parts.groupBy("request_id", "word").agg(F.sum("weight").alias("weight"), F.sum("df").alias("df"))
 
 
-def request_scores(requests: DataFrame, stored: Summaries, stop: topics.Terms) -> DataFrame:
-    """Score of each word of each request; the edges are stored, as two sums read them."""
-    edges = materialize(edge_posts(requests, stored), "edges")
-    sizes = request_sizes(requests, stored, edges)
-    return topics.scored(request_words(requests, stored, stop, edges).join(sizes, "request_id"), ["request_id"])
+def request_scores(split: DataFrame, edges: DataFrame, stored: Summaries, stop: topics.Terms) -> DataFrame:
+    """Score of each word of each request."""
+    sizes = request_sizes(split, edges, stored)
+    return topics.scored(request_words(split, edges, stored, stop).join(sizes, "request_id"), ["request_id"])
 
 
-def posts_with_words(words: DataFrame, requests: DataFrame, stored: Summaries) -> DataFrame:
+def posts_with_words(words: DataFrame, split: DataFrame, stored: Summaries) -> DataFrame:
     """request_id, tid and impact of the posts that have any of the request's words, by the index.
 
     A request looks its words up in the largest cells that it touches: at most 10 by 10.
     """
-    grid = stored.grid
-    cut = split_requests(requests, grid)
+    cut = split.drop("users", "times")
     for name, (start, end, levels) in {
-        "u": ("uid_start", "uid_end", grid.user_levels),
-        "t": ("time_start", "time_end", grid.time_levels),
+        "u": ("uid_start", "uid_end", stored.grid.user_levels),
+        "t": ("time_start", "time_end", stored.grid.time_levels),
     }.items():
         cut = cut.withColumn(name, F.explode(F.sequence(F.shiftright(start, levels[0]), F.shiftright(end, levels[0]))))
-    asked = words.select("request_id", "word").join(cut.drop("users", "times"), "request_id")
-    found = stored.index.join(asked, ["word", "u", "t"]).where(inside())
+    found = stored.index.join(words.select("request_id", "word").join(cut, "request_id"), ["word", "u", "t"]).where(inside())
     return found.select("request_id", "tid", "impact").distinct()

@@ -74,9 +74,10 @@ def topics_of(
 ) -> tuple[DataFrame, DataFrame]:
     """The same from stored sums and index of the posts, unique by tid: of posts, only the texts of the ranked ones are read."""
     words, posts_most = _limits(requests)
-    scored = summaries.request_scores(requests, stored, stop)
+    split, edges = summaries.asked(requests, stored)
+    scored = summaries.request_scores(split, edges, stored, stop)
     words = materialize(_top(scored, "word", ops.rank_words(), requests, "n1", words), "words")
-    matching = summaries.posts_with_words(words, requests, stored)
+    matching = summaries.posts_with_words(words, split, stored)
     best = _top(matching, "tid", ops.rank_posts(), requests, "n2", posts_most)
     return _shown(words, best.join(posts.select("tid", "content"), "tid"), banned)
 

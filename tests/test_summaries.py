@@ -64,7 +64,7 @@ def test_a_grid_of_its_own_gives_the_same(spark, stored):
     posts, _, sums = stored
     requests, _ = random_requests(spark, 12)
     own = summaries.summarize(posts, STOP)
-    a, b = ({(r.request_id, r.word): (round(r.weight, 9), r.df) for r in summaries.request_words(requests, s, STOP).collect()} for s in (sums, own))
+    a, b = ({(r.request_id, r.word): (round(r.weight, 9), r.df) for r in summaries.request_words(*summaries.asked(requests, s), s, STOP).collect()} for s in (sums, own))
     assert a == b
 
 
@@ -90,14 +90,16 @@ def test_posts_of_inner_cells_are_not_read_again(spark, stored):
     u, t = 3 << 17, 2 << 13
     request = (1, u, u + (2 << 17) - 1, t, t + (3 << 13) - 1, 5, 5)
     requests = spark.createDataFrame([request], REQUEST)
-    assert summaries.edge_posts(requests, sums).count() == 0
+    split, edges = summaries.asked(requests, sums)
+    assert edges.count() == 0
     many = sum(in_request(request, r) for r in rows)
-    assert summaries.request_sizes(requests, sums).collect() == [(1, many)] and many > 0
-    without = sums._replace(posts=sums.posts.limit(0))
-    assert sorted(summaries.request_words(requests, without, STOP).collect()) == sorted(summaries.request_words(requests, sums, STOP).collect())
+    assert summaries.request_sizes(split, edges, sums).collect() == [(1, many)] and many > 0
+    inside = [r for r in rows if in_request(request, r)]
+    found = {r.word: r.df for r in summaries.request_words(split, edges, sums, STOP).collect()}
+    assert found["cat"] == sum("cat" in r[2].replace("//cat", "").split() for r in inside) > 0
     # And with edges, those posts only.
     requests = spark.createDataFrame([(1, u - 50_000, u + (3 << 17) - 9, t - 700, t + (4 << 13) - 9, 5, 5)], REQUEST)
-    found = summaries.edge_posts(requests, sums)
+    found = summaries.asked(requests, sums)[1]
     assert found.where(F.col("sender_uid").between(u, u + (2 << 17) - 1) & F.col("timestamp").between(t, t + (3 << 13) - 1)).count() == 0
     assert found.count() > 0
 
@@ -106,8 +108,10 @@ def test_no_posts_and_no_requests(spark, stored):
     posts, _, sums = stored
     requests, _ = random_requests(spark, 5)
     none = summaries.summarize(posts.limit(0), STOP)
-    assert summaries.request_scores(requests, none, STOP).collect() == [] and summaries.request_sizes(requests, none).collect() == []
-    assert summaries.request_scores(requests.limit(0), sums, STOP).collect() == []
+    for requests_, stored_ in ((requests, none), (requests.limit(0), sums)):
+        split, edges = summaries.asked(requests_, stored_)
+        assert summaries.request_scores(split, edges, stored_, STOP).collect() == []
+        assert summaries.request_sizes(split, edges, stored_).collect() == []
     assert plan.report(requests, posts.limit(0), STOP, [], none).collect() == []
 
 
@@ -116,7 +120,7 @@ def test_texts_are_not_split_again(spark, stored):
     _, _, sums = stored
     requests, _ = random_requests(spark, 5)
     words = spark.createDataFrame([(4, "cat"), (0, "owl")], "request_id int, word string")
-    found = summaries.posts_with_words(words, requests, sums)._jdf.queryExecution().optimizedPlan().toString()
+    found = summaries.posts_with_words(words, summaries.asked(requests, sums)[0], sums)._jdf.queryExecution().optimizedPlan().toString()
     assert "content" not in found and "regexp" not in found and "collect_list" not in found
 
 
