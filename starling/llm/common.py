@@ -33,13 +33,14 @@ def keyed_texts(docs: DataFrame) -> DataFrame:
     return doc_texts(docs).select("doc_id", key.alias("id"), F.xxhash64("text").alias("copy"), "text")
 
 
-def steps(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that a step holds about STEP_CHARS characters, or one longer text."""
+def steps(batches: Iterable[pa.RecordBatch], column: str = "text", most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that a step holds about STEP_CHARS (or `most`) characters, or one longer text."""
+    most = most or STEP_CHARS
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = held = 0
         for i, size in enumerate(sizes):
-            if held and held + size > STEP_CHARS:
+            if held and held + size > most:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += size

@@ -38,6 +38,7 @@ from starling.session import materialize
 LENGTH = 400
 ANCHOR = 64
 BATCH = 20_000  # segments sorted together
+STEP = 1 << 18  # bytes that are hashed together, with some ten numbers of 64 bits for each
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -78,7 +79,7 @@ def all_segments(texts: DataFrame, length: int, anchor: int) -> DataFrame:
     """id, copy, anchor, content, count, lead and first of every segment."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for step in steps(batches):
+        for step in steps(batches, most=STEP):
             for data, owner, begins, skipped in pieces(step, length):
                 if found := segments(data, owner, length, anchor):
                     row = owner[found["first"]]
