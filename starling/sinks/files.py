@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,6 +15,16 @@ from starling.sources.files import SEPARATOR, read_delimited
 ROWS_PER_FILE = 1_000_000
 
 
+def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write a table and say how many rows went out, as the writing job itself counts them: nothing is read again.
+
+    A task that runs twice is counted once.
+    """
+    rows = Observation()
+    write(df.observe(rows, F.count(F.lit(1)).alias("rows")))
+    return rows.get["rows"]
+
+
 def write_delimited(
     df: DataFrame, path: str, header: bool = True, encoding: str = "UTF-8", rows_per_file: int = ROWS_PER_FILE
 ) -> None:

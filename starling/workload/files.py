@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from starling.operators.graph import interactions
 from starling.plans import ingest
 from starling.schemas import POST, USER_TAGS
-from starling.session import scratch_path
+from starling.session import scratch_path, small_table
 from starling.sinks import files as sinks
 from starling.sources import files as sources
 from starling.workload.registry import query
@@ -142,6 +143,22 @@ query(
 )(_dumped)
 
 
+def _written(t):
+    path = scratch_path(t.spark, "written")
+    tables = {"posts": t.posts_raw, "users": t.users, "profiles": t.user_mid}
+    counts = [(name, sinks.counted(df, lambda df, name=name: df.write.parquet(f"{path}/{name}"))) for name, df in tables.items()]
+    return small_table(t.spark, counts, name=pa.string(), rows=pa.int64())
+
+
+query(
+    "agg_written_rows",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS rows FROM {view}"
+        for name, view in (("posts", "posts_raw"), ("users", "users"), ("profiles", "user_mid"))
+    ),
+)(_written)
+
+
 def _served(t):
     path = scratch_path(t.spark, "serving")
     sinks.write_serving(interactions(t.posts), path, ["lo", "hi"])

@@ -123,3 +123,12 @@ def test_a_folder_without_rows(spark, tmp_path, rows):
     (tmp_path / "in" / "a.csv").write_text("")
     for _ in range(2):
         assert rows(sinks.load_new_files(spark, str(tmp_path / "in"), str(tmp_path / "table"), "k long")) == []
+
+
+def test_rows_are_counted_by_the_job_that_writes(spark, tmp_path, rows):
+    table = spark.range(1000).where("id % 3 = 0").repartition(7)
+    path = str(tmp_path / "t")
+    assert sinks.counted(table, lambda df: df.write.parquet(path)) == 334 == spark.read.parquet(path).count()
+    assert sinks.counted(table.limit(0), lambda df: df.write.mode("overwrite").parquet(path)) == 0
+    joined = table.join(spark.range(50), "id")
+    assert sinks.counted(joined, lambda df: sinks.write_delimited(df, str(tmp_path / "d"))) == 17
