@@ -181,12 +181,13 @@ def likeness(left: Column, right: Column) -> Column:
 
 
 def verified(pairs: DataFrame, units: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of nodes whose multisets overlap enough."""
+    """Links (a, b) of classes, stored: those (a_root, b_root) of pairs (a, b) of nodes whose multisets overlap enough."""
     left = units.select(F.col("copy").alias("a"), F.col("units").alias("left"))
     right = units.select(F.col("copy").alias("b"), F.col("units").alias("right"))
     joined = pairs.join(left, "a").join(right, "b")
     ratio = F.least(F.size("left"), F.size("right")) / F.greatest(F.size("left"), F.size("right"))
-    return joined.filter((ratio >= least) & (likeness(F.col("left"), F.col("right")) >= least)).select("a", "b")
+    joined = joined.filter((ratio >= least) & (likeness(F.col("left"), F.col("right")) >= least))
+    return materialize(joined.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), "verified")
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -210,15 +211,11 @@ def connected(links: DataFrame) -> DataFrame:
         roots = new.select("node", "root")
 
 
-def contracted(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """roots (node, root) after more links (a, b). Only the classes that they connect are gone through again."""
-    for side in ("a", "b"):
-        own = roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
-        links = links.join(own, side)
-    edges = materialize(links.filter("a_root <> b_root").select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), "edges")
-    if edges.isEmpty():
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """roots (node, root) after more links of classes. Only the classes that they connect are gone through again."""
+    if links.isEmpty():
         return roots
-    new = connected(edges).select(F.col("node").alias("root"), F.col("root").alias("new"))
+    new = connected(links).select(F.col("node").alias("root"), F.col("root").alias("new"))
     return materialize(roots.join(new, "root", "left").select("node", F.coalesce("new", "root").alias("root")), "roots")
 
 
@@ -227,9 +224,9 @@ def _with_roots(shared: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _outside(members: DataFrame) -> DataFrame:
-    """Members whose class is not that of their bucket's hub."""
+    """Members whose class is not that of their bucket's hub, and the hub's class."""
     own = members.filter("copy = hub").select("bucket", F.col("root").alias("hub_root"))
-    return members.join(own, "bucket").filter("root <> hub_root").drop("hub_root")
+    return members.join(own, "bucket").filter("root <> hub_root")
 
 
 def _further(
@@ -255,7 +252,11 @@ def _further(
     once = F.array_min(F.array_intersect("own_bands", "bands")) == F.col("bucket")
     sizes = F.least("own_units", "units") >= least * F.greatest("own_units", "units")
     met = left.join(right, "bucket").filter((F.col("root") != F.col("own_root")) & sizes & agree & once)
-    pairs = met.select(F.least("own_copy", "copy").alias("a"), F.greatest("own_copy", "copy").alias("b")).distinct()
+    first = F.col("own_copy") < F.col("copy")
+    sides = F.struct("own_copy", "own_root"), F.struct(F.col("copy").alias("own_copy"), F.col("root").alias("own_root"))
+    a, b = F.when(first, sides[0]).otherwise(sides[1]), F.when(first, sides[1]).otherwise(sides[0])
+    pairs = met.select(a.alias("a"), b.alias("b")).distinct()
+    pairs = pairs.select(*[F.col(x)[f"own_{c}"].alias(n) for x in "ab" for c, n in (("copy", x), ("root", f"{x}_root"))])
     return pivots.select("bucket", F.col("copy").alias("pivot")), pairs
 
 
@@ -284,22 +285,21 @@ def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
 
     first = shared.filter("copy <> hub").groupBy("copy").agg(F.max(F.struct("degree", "hub")).alias("best"))
     first = first.select("copy", F.col("best.hub").alias("first"))
-    links = materialize(verified(first.select(F.col("copy").alias("a"), F.col("first").alias("b")), units, least), "verified")
+    pairs = first.select(*[F.col(c).alias(n) for c, n in (("copy", "a"), ("first", "b"), ("copy", "a_root"), ("first", "b_root"))])
     roots = shared.select(F.col("copy").alias("node")).distinct().withColumn("root", F.col("node"))
-    roots = contracted(materialize(roots, "roots"), links)
+    roots = merged(roots, verified(pairs, units, least))
     members = _with_roots(shared, roots)
     outside = _outside(members).join(first, "copy").filter("hub <> first")
-    pairs = outside.select(F.col("copy").alias("a"), F.col("hub").alias("b")).distinct()
-    roots = contracted(roots, materialize(verified(pairs, units, least), "verified"))
+    pairs = outside.select(*[F.col(c).alias(n) for c, n in (("copy", "a"), ("hub", "b"), ("root", "a_root"), ("hub_root", "b_root"))])
+    roots = merged(roots, verified(pairs.distinct(), units, least))
     members, used, width = _with_roots(shared, roots), None, 16
     while True:
         pivots, pairs = _further(members, nodes, used, width, least)
         if pivots.isEmpty():
             break
-        after = contracted(roots, materialize(verified(pairs, units, least), "verified"))
+        after = merged(roots, verified(pairs, units, least))
         if after is not roots:
-            roots = after
-            members = _with_roots(shared, roots)
+            roots, members = after, _with_roots(shared, after)
         used = pivots if used is None else used.unionByName(pivots)
         width *= 16
 

@@ -244,7 +244,7 @@ def test_pipeline(spark):
 
     ids = sorted(step["near_duplicates"])
     data = [rows[i].encode() for i in ids]
-    for i, text, gone in zip(ids, data, brute_force(data, 400), strict=True):
+    for i, text, gone in zip(ids, data, brute_force(data, corpus_pipeline.REPEAT_BYTES), strict=True):
         assert step["suffix_dedup"][i] == bytes(b for b, g in zip(text, gone, strict=True) if not g).decode(errors="ignore")
 
     tests = [" ".join(r["text"].split()) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
