@@ -81,7 +81,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_table(spark: SparkSession, rows: Sequence[Sequence], **types: pa.DataType) -> DataFrame:
+def small_table(spark: SparkSession, rows: Sequence[Sequence], /, **types: pa.DataType) -> DataFrame:
     """A table of a few literal rows. Its size is known to the optimizer, unlike that of rows sent as objects."""
     columns = [[row[i] for row in rows] for i in range(len(types))]
     arrays = [pa.array(values, kind) for values, kind in zip(columns, types.values(), strict=True)]
