@@ -8,6 +8,7 @@ from starling.functions import scores, text
 from starling.operators import hashtags, ranges, summaries, terms
 from starling.operators import topics as ops
 from starling.plans import topics as plan
+from starling.session import materialize
 from starling.workload.registry import query
 from starling.workload.views import STOP, TOKEN, censored, words
 
@@ -68,7 +69,8 @@ query(
   AS tf_idf FROM terms t JOIN freqs f ON f.word = t.word""",
 )(
     lambda t: ops.term_counts(t.topic_posts)
-    .join(ops.doc_freq(t.topic_posts), "word")
+    # Stored, so that its size says whether each task gets it whole.
+    .join(materialize(ops.doc_freq(t.topic_posts), "doc-freq"), "word")
     .withColumn("n", t.topic_posts.select(F.count("*")).scalar())
     .select(
         "tid",

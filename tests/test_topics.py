@@ -182,3 +182,13 @@ def test_topics_against_brute_force(topic_posts, requests_of):
         chosen = [tid for tid, p in inside.items() if set(terms(p[2], True)) & set(top)]
         ranked = sorted(chosen, key=lambda tid: (-impact[tid], -tid))[:n2]
         assert [r.tid for r in best.where(F.col("request_id") == request).orderBy("rank").collect()] == ranked
+
+
+def test_words_are_counted_inside_their_post(spark, rows):
+    """Without a shuffle of words; rows of one tid and length count together, those of no tid as well."""
+    texts = [(1, "b a b"), (2, ""), (3, None), (4, "x y"), (4, "y z"), (4, "y"), (None, "q"), (None, "q"), (5, "7 -")]
+    posts = spark.createDataFrame(texts, "tid long, content string")
+    want = [(1, "a", 1, 3), (1, "b", 2, 3), (4, "x", 1, 2), (4, "y", 2, 2), (4, "z", 1, 2), (4, "y", 1, 1), (None, "q", 2, 1)]
+    assert rows(ops.term_counts(posts)) == sorted(want, key=repr)
+    plan = ops.term_counts(posts.where("tid < 4"))._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "word" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
