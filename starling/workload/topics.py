@@ -24,19 +24,19 @@ query("agg_corpus_size", "SELECT request_id, count(*) AS n FROM found GROUP BY 1
 )
 
 
-def _asked(t):
-    return summaries.asked(t.topic_requests, t.topic_summaries)
+def _asked(t, stored):
+    return summaries.asked(t.topic_requests, stored)
 
 
 query("agg_corpus_size_stored", "SELECT request_id, count(*) AS n FROM found GROUP BY 1")(
-    lambda t: summaries.request_sizes(*_asked(t), t.topic_summaries)
+    lambda t: summaries.request_sizes(*_asked(t, t.topic_sizes), t.topic_sizes)
 )
 query(
     "agg_request_word_sums",
     f"""SELECT f.request_id, t.word, count(*) AS df, round(sum(CAST(t.cnt AS DOUBLE) / t.doc_len * ln(f.impact + 1)), 6) AS weight
   FROM found f JOIN terms t ON t.tid = f.tid WHERE NOT list_contains({STOP}, t.word) GROUP BY 1, 2""",
 )(
-    lambda t: summaries.request_words(*_asked(t), t.topic_summaries, t.stop).withColumn("weight", F.round("weight", 6))
+    lambda t: summaries.request_words(*_asked(t, t.topic_sums), t.topic_sums, t.stop).withColumn("weight", F.round("weight", 6))
 )
 query("agg_effective_words", "SELECT tid, effective FROM impacts")(
     lambda t: t.topic_posts.select("tid", text.effective_words(F.col("content"), t.stop).cast("bigint").alias("effective"))

@@ -153,3 +153,14 @@ def test_texts_are_fetched_after_the_match(spark, tmp_path):
     levels, near = ranges.asked_posts(cells, spark.read.parquet(f"{tmp_path}/posts"))
     plan_text = ranges.candidates(cells, levels, near)._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan_text.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_words_are_stored_for_the_smallest_cells_only(spark, stored):
+    """No word of a cell is stored again for larger ones; numbers alone need no text."""
+    posts, rows, sums = stored
+    assert sums.words.agg(F.sum("df")).first()[0] == sums.posts.select(F.explode(F.array_distinct("words")).alias("w")).where(~F.col("w").isin(*STOP)).count()
+    requests, asked = random_requests(spark, 25)
+    alone = summaries.summarize_sizes(posts.drop("content"), sums.grid)
+    found = dict(map(tuple, summaries.request_sizes(*summaries.asked(requests, alone), alone).collect()))
+    many = {a[0]: sum(in_request(a, r) for r in rows) for a in asked}
+    assert found == {k: n for k, n in many.items() if n}
