@@ -87,9 +87,10 @@ query(
 
 
 def _overlap_pairs(t):
-    from starling.operators.hashtags import contact_overlap, tag_counts
+    from starling.operators.hashtags import contact_overlap
+    from starling.workload.graph import pairs_and_counts
 
-    return contact_overlap(graph.interactions(t.posts).select("lo", "hi"), tag_counts(t.posts, t.popular))
+    return contact_overlap(*pairs_and_counts(t))
 
 
 query(

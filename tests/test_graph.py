@@ -145,3 +145,20 @@ def test_split_points_with_a_hot_key(spark, rows, parts):
 
 def test_split_points_of_nothing(spark, rows):
     assert rows(split_points(spark.createDataFrame([], "uid long"), "uid", 5)) == []
+
+
+def test_tag_sets_give_the_totals_of_single_tags(spark, rows):
+    """Sets go whole up to a number of tags and are looked up one by one beyond it; a tag of no name is shared by nobody."""
+    rng = random.Random(3)
+    uses = {(u, f"t{rng.randrange(30)}"): rng.randrange(1, 4) for u in range(20) for _ in range(u)}
+    listed = [(*k, n) for k, n in uses.items()] + [(3, None, 5), (4, None, 5)]
+    counts = spark.createDataFrame(listed, "uid long, tag string, cnt long")
+    pairs = [(a, b) for a in range(20) for b in range(a, 20)]
+    want = []
+    for a, b in pairs:
+        shared = [(t, n) for (u, t), n in uses.items() if u == a and (b, t) in uses]
+        if shared:
+            want.append((a, b, sum(n + uses[b, t] for t, n in shared)))
+    table = spark.createDataFrame(pairs, "lo long, hi long")
+    for most in (0, 6, 1000):
+        assert rows(hashtags.shared_tags(table, counts, most), "lo", "hi", "cnt") == sorted(want, key=repr)
