@@ -162,3 +162,14 @@ def test_tag_sets_give_the_totals_of_single_tags(spark, rows):
     table = spark.createDataFrame(pairs, "lo long, hi long")
     for most in (0, 6, 1000):
         assert rows(hashtags.shared_tags(table, counts, most), "lo", "hi", "cnt") == sorted(want, key=repr)
+
+
+def test_rows_of_short_documents_are_moved_once(spark):
+    """No sort and no numbers for keys of one page."""
+    df = spark.createDataFrame([(k, t, "x") for k in range(5) for t in range(4)], "k long, t long, content string")
+    plan = documents.concatenate(df, ["k"], ["t"], ["content"], page_rows=4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" not in plan
+    got = documents.concatenate(df.where("k < 2 OR t < 3"), ["k"], ["t"], ["content"], page_rows=3).collect()
+    assert sorted((r.k, r.part, r.content) for r in got) == [
+        (0, 0, "x,x,x"), (0, 1, "x"), (1, 0, "x,x,x"), (1, 1, "x"), (2, 0, "x,x,x"), (3, 0, "x,x,x"), (4, 0, "x,x,x")
+    ]
