@@ -98,7 +98,7 @@ query("lookup_contacts", f"{_DOCS} WHERE type = 0 AND uid = 42")(lambda t: _docs
 
 
 query("lookup_contacts_by_type", "SELECT * FROM combined WHERE uid = 7 AND type = 1")(
-    lambda t: lookup.lookup_contacts_by_type(t.spark.read.parquet(f"{t.serving}/docs"), 7, "retweet")
+    lambda t: lookup.lookup_contacts_by_type(t.docs_of(7), 7, "retweet")
 )
 query(
     "lookup_pairs",

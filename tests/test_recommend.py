@@ -148,3 +148,13 @@ def test_ranks_follow_the_order_over_many_tasks(spark):
         own = sorted((r for r in found if r.request_id == request), key=lambda r: r["rank"])
         assert [r["rank"] for r in own] == list(range(1, len(own) + 1))
         assert [(r.score, r.contact_uid) for r in own] == sorted(((r.score, r.contact_uid) for r in own), reverse=True)
+
+
+def test_tables_of_some_users_hold_their_rows_only(spark, tmp_path, posts_of, users, terms_of, rows):
+    posts, some, whole = random_posts(posts_of), f"{tmp_path}/some", f"{tmp_path}/whole"
+    uids = spark.createDataFrame([(2,), (5,), (5,), (77,), (None,)], "uid long")
+    serving.write(posts, users, terms_of("pop"), whole)
+    serving.write(posts, users, terms_of("pop"), some, uids=uids)
+    for name in serving.LAYOUTS:
+        want = rows(spark.read.parquet(f"{whole}/{name}").where("uid IN (2, 5)"))
+        assert rows(spark.read.parquet(f"{some}/{name}")) == want and want
