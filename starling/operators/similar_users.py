@@ -39,7 +39,8 @@ def candidate_pairs(prefix: DataFrame, least: int, block_users: int = BLOCK_USER
     placed = prefix.join(sizes, "tag").withColumn("block", F.pmod(F.xxhash64("uid"), "blocks").cast("int"))
     left = placed.select("tag", F.col("uid").alias("a"), F.col("own").alias("own_a"), F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
     right = placed.select("tag", F.col("uid").alias("b"), F.col("own").alias("own_b"), F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"))
-    met = left.join(right, ["tag", "i", "j"]).where("(i < j OR a < b) AND a <> b")
+    # Stored tables pack these rows to a few bytes each, so their size says nothing of what a broadcast of them would hold.
+    met = left.join(right.hint("merge"), ["tag", "i", "j"]).where("(i < j OR a < b) AND a <> b")
     enough = met.where(F.col("own_a") + F.col("own_b") >= least)
     return enough.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct()
 

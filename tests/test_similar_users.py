@@ -61,3 +61,11 @@ def test_a_hot_tag_is_spread(spark):
     assert ops.pairs_above(table, 3, block_users=30).count() == 0
     with pytest.raises(ValueError):
         ops.pairs_above(table, 0)
+
+
+def test_prefixes_are_not_broadcast(spark, counts):
+    """Stored they are small, and many times that in memory."""
+    prefix = ops.materialize(ops.prefixes(counts[0], 6), "prefixes")
+    plan = ops.candidate_pairs(prefix, 6)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "i#" in line and "j#" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
