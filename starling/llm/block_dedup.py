@@ -30,7 +30,8 @@ from starling.session import materialize
 
 WINDOW = 35
 SHARD_CHARS = 8 << 20  # characters of text for each shard
-FLUSH = 1 << 21  # probes that a task gathers before it sends them
+FLUSH = 1 << 20  # probes that a task gathers before it sends them
+STEP = 256 << 10  # characters that are hashed at a time
 _TAIL = 5  # bytes
 _GOLDEN = np.uint64(BASE)
 
@@ -69,7 +70,8 @@ def indexed(texts: DataFrame, window: int, shards: int) -> DataFrame:
     block = block_length(window)
 
     def flush(probes: list, blocks: list) -> Iterator[pa.RecordBatch]:
-        probes = np.sort(np.concatenate(probes))
+        probes = np.concatenate(probes)
+        probes.sort()
         # Once where a run of words occurs once here, twice where it occurs more often.
         third = np.zeros(len(probes), bool)
         third[2:] = probes[2:] == probes[:-2]
@@ -91,7 +93,7 @@ def indexed(texts: DataFrame, window: int, shards: int) -> DataFrame:
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probes, blocks, held = [], [], 0
-        for step in steps(batches):
+        for step in steps(batches, most=STEP):
             words, ids, copies = _words(step)
             hashes, first = words.runs(block)
             if not len(hashes):
@@ -192,7 +194,7 @@ def window_runs(texts: DataFrame, hits: DataFrame, window: int, shards: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
-        for step in steps(batches):
+        for step in steps(batches, most=STEP):
             if (part := found(step)) is not None:
                 parts.append(part)
                 held += len(part[0])
