@@ -94,6 +94,14 @@ def test_hot_groups_and_flushes(docs_of, monkeypatch):
     check_bytes(docs.repartition(5), 100, 16)
 
 
+def test_blocks_are_hashed_in_small_steps(docs_of, monkeypatch):
+    """Steps and flushes of a few texts give the repeats of all."""
+    monkeypatch.setattr(block_dedup, "STEP", 50)
+    monkeypatch.setattr(block_dedup, "FLUSH", 20)
+    rand = random.Random(11)
+    check_words(docs_of([(i, " ".join(rand.choices("abc", k=rand.randrange(30)))) for i in range(60)]), 6)
+
+
 def test_long_texts_come_in_parts(docs_of, monkeypatch):
     monkeypatch.setattr(common, "STEP_CHARS", 100)
     rand = random.Random(10)
