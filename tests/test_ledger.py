@@ -4,9 +4,11 @@ import json
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from starling.functions import ledger as fn
 from starling.operators import ledger as ops
 from starling.plans.ledger import ledger_report
@@ -229,3 +231,19 @@ def test_signatures_are_checked_without_python(spark):
     txs = spark.createDataFrame([(1, 0, 0, "ab", 3, 2)], "chain_id long, pos long, idx long, hash string, sig long, send long")
     plan = ops.bad_signatures(txs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_text_is_handed_on_in_pieces():
+    """Many rows in one batch of payloads do not make one batch of text."""
+    streams = [zlib.compress(b"x" * 300_000), None, b"damaged", zlib.compress(b"\xff"), zlib.compress(b"")] * 40
+    pieces = list(fn._inflate.func(iter([pa.array(streams, pa.binary()), pa.array([], pa.binary())])))
+    assert [t for p in pieces for t in p.to_pylist()] == ["x" * 300_000, None, None, None, ""] * 40
+    assert max(p.nbytes for p in pieces) < 2 * fn.PIECE_CHARS
+
+
+def test_payloads_are_made_and_inflated_once(spark, tmp_path):
+    """Neither the padding nor the filter on empty chains repeats what the payload comes from."""
+    events = spark.sql("SELECT id AS event_id, TIMESTAMP_SECONDS(id) AS ts, id % 7 AS user_id, 'view' AS event_type, 1.5D AS value FROM range(99)")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    plan = entry.queries()["ledger_explode"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2 and "pythonUDF1" not in plan
