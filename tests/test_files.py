@@ -1,9 +1,15 @@
+import gzip
+from pathlib import Path
+from urllib.parse import unquote, urlparse
+
 import pytest
 
 from starling.schemas import POST
 from starling.sinks import files as sinks
 from starling.sources import files as sources
 from starling.sources import jdbc
+from starling.workload import files as workload
+from starling.workload.adapters import Tables
 
 
 @pytest.fixture
@@ -132,3 +138,17 @@ def test_rows_are_counted_by_the_job_that_writes(spark, tmp_path, rows):
     assert sinks.counted(table.limit(0), lambda df: df.write.mode("overwrite").parquet(path)) == 0
     joined = table.join(spark.range(50), "id")
     assert sinks.counted(joined, lambda df: sinks.write_delimited(df, str(tmp_path / "d"))) == 17
+
+
+def test_raw_posts_are_written_at_the_cheapest_level(spark, tmp_path, rows):
+    """Level 1 of gzip, each raw post one line, and the damaged lines beside them."""
+    spark.createDataFrame([("A",), ("B",)], "r_name string").write.parquet(str(tmp_path / "region.parquet"))
+    tables = Tables(spark, str(tmp_path))
+    raw = spark.range(3000).selectExpr("id", "sha2(string(id), 256) AS text", "IF(id % 2 = 0, 'en', NULL) AS lang").coalesce(1)
+    tables.__dict__["raw"] = raw
+    read = workload._json(tables)
+    assert rows(read, "id", "text", "lang") == sorted([tuple(r) for r in raw.collect()] + [(None,) * 3] * 2, key=repr)
+    largest = max((Path(unquote(urlparse(f).path)) for f in read.inputFiles()), key=lambda p: p.stat().st_size)
+    text = gzip.decompress(largest.read_bytes())
+    assert largest.suffix == ".gz" and text.count(b"\n") == 3000
+    assert largest.stat().st_size > 1.02 * len(gzip.compress(text, 6))
