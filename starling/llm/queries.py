@@ -108,7 +108,7 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = suffix_dedup.without_repeats(docs)
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "longest_repeat")
 
 
 # The same by comparing all windows.

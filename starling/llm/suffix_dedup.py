@@ -3,23 +3,26 @@
 A suffix array of all texts would sort each of their bytes. Here, as in induced sorting, a sample of suffixes is sorted
 first and the others are induced from it, byte by byte to the left, each step carrying ranks and common-prefix values:
 
-1. Sample. In each window (a string of LENGTH bytes) the leftmost smallest hash of ANCHOR bytes is the window's anchor.
+1. Sample. In each window (a string of SHORTEST bytes) the leftmost smallest hash of ANCHOR bytes is the window's anchor.
    It depends on the window's bytes alone, so equal windows have the same anchor at the same distance. Consecutive
-   windows of one anchor make a segment, about one for each (LENGTH - ANCHOR) / 2 bytes.
-2. Segments are counted by anchor. Anchors that occur once cannot be part of a repeat. Equal segments are one row with a
-   count, and all their windows repeat; an anchor that occurs in different segments needs sorting.
+   windows of one anchor make a segment, about one for each (SHORTEST - ANCHOR) / 2 bytes; its tail are the bytes from its
+   last window on, LENGTH at most or up to the end of the text.
+2. Segments are counted by anchor. Anchors that occur once cannot be part of a repeat. Equal segments (with equal tails)
+   are one row with a count, and all their windows repeat; an anchor that occurs in different segments needs sorting.
 3. Segments to be sorted are tuples (anchor, suffix at the anchor, bytes to its left), put in order by Spark's external
    sort, whose queues of sorted runs are on disk. A task reads the tuples of its anchors in that order, some whole
    anchors at a time, with the common prefix of each with the one before.
 4. Induction. The suffixes that start one byte further left are in order after a stable sort by that byte; the common
-   prefix of neighbours is one more than the least one in between. Windows whose common prefix with a neighbour reaches
-   LENGTH repeat.
+   prefix of neighbours is one more than the least one in between. Strings whose common prefix with a neighbour reaches
+   LENGTH repeat and are removed. Common prefixes from SHORTEST to LENGTH give the longest repeat of each text, and remove
+   nothing.
 
 Only segments of shared anchors are sorted, and of equal ones one; a task holds a batch of anchors, never a whole shard.
 An anchor's different segments must fit in the memory of a task.
 
 Defined results: null or empty texts, and texts shorter than LENGTH bytes, keep everything. Repeated rows are copies of
-each other, and lose all windows. Matches never cross texts.
+each other, and lose all windows. Matches never cross texts. A longest repeat below SHORTEST counts as 0, one beyond LENGTH
+as LENGTH.
 """
 
 from __future__ import annotations
@@ -36,33 +39,45 @@ from starling.llm.common import STEP_CHARS, joined_texts, keyed_texts, steps
 from starling.session import materialize
 
 LENGTH = 400
+SHORTEST = 250  # a passage of 50 words is rarely shorter
 ANCHOR = 64
 BATCH = 20_000  # segments sorted together
 STEP = 1 << 18  # bytes that are hashed together, with some ten numbers of 64 bits for each
 _PLACE = np.uint64((1 << 24) - 1)
 
 
-def segments(data: np.ndarray, owner: np.ndarray, length: int, anchor: int) -> dict[str, np.ndarray]:
-    """Segments of some bytes and their owners: anchor and content (hashes), first window, count, distance to the anchor."""
+def segments(data: np.ndarray, owner: np.ndarray, length: int, anchor: int, shortest: int, most: int | None = None) -> dict[str, np.ndarray]:
+    """Segments of some bytes and their owners: anchor and content (hashes), first window, count, distance to the anchor, tail.
+
+    Windows are shortest bytes; only those that begin in the first `most` bytes count.
+    """
     grams = mix(rolling(BYTE[data], anchor))
-    reach = length - anchor + 1
+    reach = shortest - anchor + 1
     if len(grams) < reach:
         return {}
     key = sliding_min((grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64), reach)
-    starts = np.flatnonzero(owner[: len(key)] == owner[length - 1 :])
+    starts = np.flatnonzero(owner[: len(key)][:most] == owner[shortest - 1 :][:most])
     if not len(starts):
         return {}
     place = (key[starts] & _PLACE).astype(np.int64)
     new = np.flatnonzero((np.diff(place, prepend=-1) != 0) | (np.diff(starts, prepend=-2) != 1))
     first, place = starts[new], place[new]
     count = np.diff(np.append(new, len(starts)))
-    windows = rolling(BYTE[data], length)
-    content = mix(mix(windows[first]) + mix(windows[first + count - 1] + np.uint64(1)) * np.uint64(BASE) + count.astype(np.uint64))
-    return {"anchor": grams[place].view(np.int64), "content": content.view(np.int64), "first": first, "count": count, "lead": place - first}
+    last = first + count - 1
+    tail = np.minimum(length, np.searchsorted(owner, owner[last], side="right") - last)
+    windows = rolling(BYTE[data], shortest)
+    content = mix(windows[first]) + mix(windows[last] + np.uint64(1)) * np.uint64(BASE)
+    for done in range(shortest, length, shortest):
+        content = mix(content) * np.uint64(BASE) + windows[last + np.minimum(done, tail - shortest)]
+    content = mix(mix(content) + count.astype(np.uint64) + tail.astype(np.uint64) * np.uint64(BASE))
+    return {"anchor": grams[place].view(np.int64), "content": content.view(np.int64), "first": first, "count": count, "lead": place - first, "tail": tail}
+
 
+def pieces(step: pa.RecordBatch, length: int, shortest: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Bytes, their owner (row of the step), where each row's bytes begin, and how far into the row.
 
-def pieces(step: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Bytes, their owner (row of the step), where each row's bytes begin, and how far into the row. Long texts come in parts."""
+    Long texts come in parts of 4 * STEP_CHARS bytes, followed by the rest of the strings that begin in them.
+    """
     texts = [t.encode() for t in step.column("text").to_pylist()]
     most = 4 * STEP_CHARS
     if len(texts) > 1 or len(texts[0]) <= most:
@@ -70,18 +85,19 @@ def pieces(step: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np.n
         yield np.frombuffer(b"".join(texts), np.uint8), np.repeat(np.arange(len(texts)), sizes), np.cumsum(sizes) - sizes, np.zeros(len(texts), np.int64)
         return
     data = np.frombuffer(texts[0], np.uint8)
-    for start in range(0, len(data) - length + 1, most):
+    for start in range(0, len(data) - (shortest or length) + 1, most):
         part = data[start : start + most + length - 1]
         yield part, np.zeros(len(part), np.int64), np.zeros(1, np.int64), np.array([start])
 
 
-def all_segments(texts: DataFrame, length: int, anchor: int) -> DataFrame:
-    """id, copy, anchor, content, count, lead and first of every segment."""
+def all_segments(texts: DataFrame, length: int, anchor: int, shortest: int) -> DataFrame:
+    """id, copy, anchor, content, count, lead, tail and first of every segment."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches, most=STEP):
-            for data, owner, begins, skipped in pieces(step, length):
-                if found := segments(data, owner, length, anchor):
+            most = 4 * STEP_CHARS if step.num_rows == 1 else None
+            for data, owner, begins, skipped in pieces(step, length, shortest):
+                if found := segments(data, owner, length, anchor, shortest, most):
                     row = owner[found["first"]]
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -91,12 +107,13 @@ def all_segments(texts: DataFrame, length: int, anchor: int) -> DataFrame:
                             pa.array(found["content"]),
                             pa.array(found["count"], pa.int32()),
                             pa.array(found["lead"], pa.int32()),
+                            pa.array(found["tail"], pa.int32()),
                             pa.array(found["first"] - begins[row] + skipped[row], pa.int64()),
                         ],
-                        names=["id", "copy", "anchor", "content", "count", "lead", "first"],
+                        names=["id", "copy", "anchor", "content", "count", "lead", "tail", "first"],
                     )
 
-    return texts.mapInArrow(cut, "id long, copy long, anchor long, content long, count int, lead int, first long")
+    return texts.mapInArrow(cut, "id long, copy long, anchor long, content long, count int, lead int, tail int, first long")
 
 
 def tuples(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -130,11 +147,12 @@ def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def induce(anchors: np.ndarray, counts: np.ndarray, leads: np.ndarray, suffixes: np.ndarray, sizes: np.ndarray, lefts: np.ndarray, length: int) -> np.ndarray:
-    """Which windows repeat: a row for each segment, a column for each distance to the anchor.
+    """Common prefix (length at most) of each window with the nearest others: a row for each segment, a column for each
+    distance to the anchor.
 
     Segments come in the order of anchor and suffix.
     """
-    out = np.zeros((len(anchors), int(leads.max()) + 1), bool)
+    out = np.zeros((len(anchors), int(leads.max()) + 1), np.int32)
     group = np.cumsum(np.diff(anchors, prepend=anchors[0]) != 0)
     differ = suffixes[1:] != suffixes[:-1]
     common = np.where(differ.any(axis=1), differ.argmax(axis=1), length)
@@ -160,30 +178,40 @@ def induce(anchors: np.ndarray, counts: np.ndarray, leads: np.ndarray, suffixes:
             order, prefix = order_new, least
         if not len(order):
             break
-        after = np.append(prefix[1:], 0)
-        repeats = np.maximum(prefix, after) >= length
-        out[order, distance] = repeats & (nearest[order] <= distance)
+        # Only windows of the segments themselves are compared: the bytes further right may be another segment's, of the
+        # same place where a long text was cut.
+        own = np.flatnonzero(nearest[order] <= distance)
+        if len(own) > 1:
+            shared = np.zeros(len(own) + 1, np.int32)
+            shared[1:-1] = np.minimum.reduceat(np.append(prefix, 0), own + 1)[:-1]
+            out[order[own], distance] = np.minimum(np.maximum(shared[:-1], shared[1:]), length)
     return out
 
 
-def sorted_marks(found: DataFrame, length: int, batch: int = BATCH) -> DataFrame:
-    """anchor, content, count, start and end: runs of windows that repeat, counted from the first window of a segment."""
+def sorted_marks(found: DataFrame, length: int, shortest: int, batch: int = BATCH) -> DataFrame:
+    """anchor, content, count, start, end and longest: runs of places where a string of length bytes repeats, counted from
+    the first window of a segment, and the segment's longest repeat. Segments with shorter repeats alone have an empty run.
+    """
 
     def marks(rows: pa.Table) -> pa.RecordBatch:
         suffixes, sizes = _matrix(rows.column("suffix"), length)
         leads = rows.column("lead").to_numpy()
         lefts, _ = _matrix(rows.column("left"), max(1, int(leads.max())))
-        hit = induce(rows.column("anchor").to_numpy(), rows.column("count").to_numpy(), leads, suffixes, sizes, lefts, length)
+        common = induce(rows.column("anchor").to_numpy(), rows.column("count").to_numpy(), leads, suffixes, sizes, lefts, length)
+        hit, longest = common >= length, common.max(axis=1)
         # From distances to places: turned, and with a column without a hit on both sides, runs begin and end at changes.
         wide = np.zeros((len(hit), hit.shape[1] + 2), np.int8)
         wide[:, 1:-1] = hit[:, ::-1]
         segment, begin = np.nonzero(np.diff(wide, axis=1) == 1)
         _, end = np.nonzero(np.diff(wide, axis=1) == -1)
         shift = (hit.shape[1] - 1 - leads)[segment]
-        columns = [rows.column(c).combine_chunks().take(pa.array(segment)) for c in ("anchor", "content", "count")]
+        short = np.flatnonzero((longest >= shortest) & (longest < length))
+        none = np.zeros(len(short), np.int64)
+        marked = np.append(segment, short)
+        columns = [rows.column(c).combine_chunks().take(pa.array(marked)) for c in ("anchor", "content", "count")]
         return pa.RecordBatch.from_arrays(
-            [*columns, pa.array(begin - shift, pa.int64()), pa.array(end - shift, pa.int64())],
-            names=["anchor", "content", "count", "start", "end"],
+            [*columns, pa.array(np.append(begin - shift, none)), pa.array(np.append(end - shift, none)), pa.array(longest[marked])],
+            names=["anchor", "content", "count", "start", "end", "longest"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,25 +231,35 @@ def sorted_marks(found: DataFrame, length: int, batch: int = BATCH) -> DataFrame
             yield marks(pa.Table.from_batches(held).combine_chunks())
 
     placed = found.repartition("anchor").sortWithinPartitions("anchor", "suffix", F.length("suffix"))
-    return placed.mapInArrow(run, "anchor long, content long, count int, start long, end long")
+    return placed.mapInArrow(run, "anchor long, content long, count int, start long, end long, longest int")
+
 
+def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shortest: int | None = None) -> DataFrame:
+    """id, copy and found, of all texts that hold a repeat of shortest (else length) bytes.
 
-def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """id, copy and spans: runs [start, end) of window starts that repeat, of all texts that have some."""
+    found.spans are runs [start, end) of places where a string of length bytes begins that repeats, found.longest is the size
+    of the longest repeat, length at most.
+    """
+    shortest = min(shortest or length, length)
     texts = keyed_texts(docs).drop("doc_id")
-    found = materialize(all_segments(texts, length, anchor), "segments")
+    found = materialize(all_segments(texts, length, anchor, shortest), "segments")
     first = F.min(F.struct("id", "copy", "first")).alias("at")
-    kinds = found.groupBy("anchor", "content", "count", "lead").agg(F.count("*").alias("times"), first)
+    kinds = found.groupBy("anchor", "content", "count", "lead", "tail").agg(F.count("*").alias("times"), first)
     shared = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("times").alias("all")).filter("all > 1")
     kinds = materialize(kinds.join(shared.drop("all"), "anchor"), "kinds")
     wanted = kinds.filter("kinds > 1").select("at.*", "anchor", "content", "count", "lead")
-    marks = sorted_marks(tuples(texts, wanted, length), length)
-    known = kinds.filter("times > 1").select("anchor", "content", "count", F.lit(0).cast("long").alias("start"), F.col("count").cast("long").alias("end"))
+    marks = sorted_marks(tuples(texts, wanted, length), length, shortest)
+    # At the end of a text the last windows are shorter than length.
+    end = F.greatest(F.col("count") - length + F.col("tail"), F.lit(0)).cast("long").alias("end")
+    longest = F.least(F.col("tail") + F.col("count") - 1, F.lit(length)).alias("longest")
+    known = kinds.filter("times > 1").select("anchor", "content", "count", F.lit(0).cast("long").alias("start"), end, longest)
     # Of a kind that is known to repeat the marks add nothing, and do no harm.
     marks = materialize(known.unionByName(marks), "marks")
     spans = found.join(marks, ["anchor", "content", "count"])
     span = F.struct((F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("end")).alias("end"))
-    return spans.select("id", "copy", span.alias("span")).distinct().groupBy("id", "copy").agg(F.collect_list("span").alias("spans"))
+    spans = spans.select("id", "copy", F.when(F.col("start") < F.col("end"), span).alias("span"), "longest").distinct()
+    both = F.struct(F.collect_list("span").alias("spans"), F.max("longest").alias("longest"))
+    return spans.groupBy("id", "copy").agg(both.alias("found"))
 
 
 def _kept(text: str, spans: list[dict] | None, length: int) -> tuple[bytes, int, int, int]:
@@ -237,20 +275,27 @@ def _kept(text: str, spans: list[dict] | None, length: int) -> tuple[bytes, int,
     return np.frombuffer(data, np.uint8)[~gone].tobytes(), len(data), int(gone.sum()), runs
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """Add kept (the remaining bytes), n_bytes, n_removed and n_spans (maximal removed runs) to the rows of docs."""
-    stored = materialize(repeats(docs, length, anchor), "repeats")
-    kinds = {"kept": pa.binary(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64()}
-    return joined_texts(docs, stored, "spans", lambda text, spans: _kept(text, spans, length), kinds)
+def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shortest: int = SHORTEST) -> DataFrame:
+    """Add kept (the remaining bytes), n_bytes, n_removed, n_spans (maximal removed runs) and longest_repeat to the rows of docs.
+
+    longest_repeat has the bytes of the text's longest string that also starts anywhere else: length at most, 0 below shortest.
+    """
+    stored = materialize(repeats(docs, length, anchor, shortest), "repeats")
+    kinds = {"kept": pa.binary(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "longest_repeat": pa.int64()}
+
+    def remove(text: str, found: dict | None) -> tuple[bytes, int, int, int, int]:
+        return *_kept(text, found and found["spans"], length), found["longest"] if found else 0
+
+    return joined_texts(docs, stored, "found", remove, kinds)
 
 
 def shortened(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """docs with the remaining text, and its n_chars. Bytes of a character that was cut are dropped."""
     stored = materialize(repeats(docs, length, anchor), "repeats")
 
-    def shorten(text: str, spans: list[dict] | None) -> tuple[str, int]:
-        kept = _kept(text, spans, length)[0].decode(errors="ignore") if spans else text
+    def shorten(text: str, found: dict | None) -> tuple[str, int]:
+        kept = _kept(text, found["spans"], length)[0].decode(errors="ignore") if found else text
         return kept, len(kept)
 
-    out = joined_texts(docs, stored, "spans", shorten, {"text": pa.string(), "n_chars": pa.int64()})
+    out = joined_texts(docs, stored, "found", shorten, {"text": pa.string(), "n_chars": pa.int64()})
     return out.select(*docs.columns)

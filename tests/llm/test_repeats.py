@@ -113,6 +113,49 @@ def test_long_texts_come_in_parts(docs_of, monkeypatch):
     assert found == [(i, text[i : i + 20].encode()) for i in range(len(text) - 19)]
 
 
+def longest_by_force(texts, length, shortest):
+    """Of each text, the bytes of the longest string that starts twice: from shortest to length, else 0."""
+    out = [0] * len(texts)
+    for size in range(shortest, length + 1):
+        counts = Counter(t[i : i + size] for t in texts for i in range(len(t) - size + 1))
+        for k, t in enumerate(texts):
+            if any(counts[t[i : i + size]] > 1 for i in range(len(t) - size + 1)):
+                out[k] = size
+    return out
+
+
+@pytest.mark.parametrize("seed, length, anchor, shortest", [(1, 16, 4, 10), (2, 30, 5, 8), (3, 25, 3, 12), (4, 18, 8, 18)])
+def test_longest_repeats(docs_of, seed, length, anchor, shortest):
+    """Repeats that are too short to be removed are reported, and what is removed stays the same."""
+    texts = random_texts(seed, 40, ["a", "b", "\0", "é", "c "], 60)
+    docs = docs_of(list(enumerate(texts)))
+    data = [t.encode() for t in texts]
+    got = {r["doc_id"]: r for r in suffix_dedup.without_repeats(docs, length, anchor, shortest).collect()}
+    assert [got[i]["longest_repeat"] for i in range(len(texts))] == longest_by_force(data, length, shortest)
+    assert [got[i]["n_removed"] for i in range(len(texts))] == [int(g.sum()) for g in brute_force(data, length)]
+
+
+def test_passages_shorter_than_what_is_removed(docs_of):
+    """A passage of over 50 words below 400 bytes stays, as it must, and is reported."""
+    rand = random.Random(12)
+    passage = " ".join("".join(rand.choices("abcdefgh", k=4)) for _ in range(60))
+    own = ["".join(rand.choices("ijklmnop ", k=900)) for _ in range(4)]
+    docs = docs_of([(1, own[0] + "<" + passage + ">" + own[1]), (2, own[2] + "(" + passage + ")"), (3, own[3]), (4, None)])
+    got = {r["doc_id"]: (r["n_removed"], r["longest_repeat"]) for r in suffix_dedup.without_repeats(docs).collect()}
+    assert got == {1: (0, 299), 2: (0, 299), 3: (0, 0), 4: (0, 0)}
+
+
+def test_places_where_long_texts_are_cut_are_no_repeats(docs_of):
+    most = 4 * common.STEP_CHARS
+    rand = random.Random(13)
+    once, cut = (rand.randbytes(most + 3000).hex()[: most + 3000] for _ in range(2))
+    twice = cut + "-" + cut[most - 250 : most + 250]
+    for texts, want in (([once], [(0, 0, 0)]), ([once, twice], [(0, 0, 0), (1000, 2, 400)])):
+        found = suffix_dedup.without_repeats(docs_of(list(enumerate(texts))))
+        got = {r["doc_id"]: (r["n_removed"], r["n_spans"], r["longest_repeat"]) for r in found.collect()}
+        assert [got[i] for i in range(len(texts))] == want
+
+
 def test_shortened_rows_keep_their_columns(docs_of, awkward):
     out = suffix_dedup.shortened(awkward)
     assert out.columns == awkward.columns and out.count() == awkward.count()
