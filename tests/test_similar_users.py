@@ -101,6 +101,8 @@ def test_common_from_any_level_on(counts, rows, monkeypatch, level, large_tags):
     for name in ("pairs_among", "pairs_with_large", "candidate_pairs"):
         monkeypatch.setattr(ops, name, lambda *args, f=getattr(ops, name), name=name: used.append(name) or f(*args))
     monkeypatch.setattr(ops, "common_level", lambda *_: level)
+    # Several pairs of blocks in a task.
+    monkeypatch.setattr(ops, "MOST_TASKS", 3)
     got = ops.pairs_above(table, 6, block_users=40, set_users=30, large_tags=large_tags)
     assert rows(got, "lo", "hi", "cnt") == brute(listed, 6)
     by_blocks = {"pairs_among"} | ({"pairs_with_large"} if large_tags == 3 else set())
